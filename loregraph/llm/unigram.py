@@ -60,14 +60,15 @@ class DoubleArray:
     check[t] = s; value[s] is the id of the string that ends at s, or -1."""
 
     def __init__(self, keys: dict[bytes, int]):
-        self.base, self.check, self.value = [0], [-1], [-1]
-        free = 1
         names = sorted(keys)
+        used = bytearray(b"\x01") + bytes(512)  # places that are taken; the root's is 0
+        parent, base, value = {0: -1}, {0: 0}, {}
+        first = 1  # below it the array is nearly full and isn't searched again
         stack = [(0, 0, len(names), 0)]
         while stack:
             state, lo, hi, depth = stack.pop()
             if lo < hi and len(names[lo]) == depth:
-                self.value[state] = keys[names[lo]]
+                value[state] = keys[names[lo]]
                 lo += 1
             children, at = [], lo
             while at < hi:
@@ -77,20 +78,29 @@ class DoubleArray:
                 children.append((c, start, at))
             if not children:
                 continue
-            while free < len(self.check) and self.check[free] != -1:
-                free += 1
-            base = max(0, free - children[0][0] - 1)
-            while any(base + c + 1 < len(self.check) and self.check[base + c + 1] != -1 for c, _, _ in children) or base + children[0][0] + 1 == 0:
-                base += 1
-            need = base + children[-1][0] + 2 - len(self.check)
-            if need > 0:
-                self.base += [0] * need
-                self.check += [-1] * need
-                self.value += [-1] * need
-            self.base[state] = base
+            low = children[0][0]
+            place, tried = max(first, low + 1) - 1, 0
+            while True:
+                place = used.find(0, place + 1)
+                if place < 0 or place + 256 > len(used):
+                    used += bytes(len(used))
+                    place = max(0, place - 1) if place > 0 else len(used) // 2 - 1
+                    continue
+                tried += 1
+                if not any(used[place - low + c] for c, _, _ in children):
+                    break
+            if tried > 64:
+                first = max(first, place - 256)
+            base[state] = place - low - 1
             for c, start, end in children:
-                self.check[base + c + 1] = state
-                stack.append((base + c + 1, start, end, depth + 1))
+                used[place - low + c] = 1
+                parent[place - low + c] = state
+                stack.append((place - low + c, start, end, depth + 1))
+        size = max(parent) + 1
+        self.base, self.check, self.value = [0] * size, [-1] * size, [-1] * size
+        for column, found in ((self.base, base), (self.check, parent), (self.value, value)):
+            for k, x in found.items():
+                column[k] = x
 
     def prefixes(self, text: bytes, at: int) -> Iterator[tuple[int, int]]:
         """(end, id) of each key that starts at ``at``."""
