@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from loregraph.functions.text import SPACE
 
@@ -44,7 +45,7 @@ def partial_of(a: str, b: str) -> float:
 
 
 def _pairwise(f):
-    @F.pandas_udf("double")
+    @F.pandas_udf(S.DoubleType())
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
@@ -86,7 +87,7 @@ def block_keys(threshold: int):
     """Two Arrow functions: keys of a text as the longer of a pair, and as the shorter. Pairs that reach
     the threshold share a key; a key holds the longer text's length and one of its pieces."""
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(S.ArrayType(S.StringType()))
     def as_longer(text: pd.Series) -> pd.Series:
         return text.map(lambda t: [] if t is None else sorted({f"{m}|{p}" for m, p in _pieces(t, threshold)}))
 
@@ -97,7 +98,7 @@ def block_keys(threshold: int):
                 out |= {f"{m if width else 0}|{t[i : i + width]}" for i in range(len(t) - width + 1)}
         return sorted(out)
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(S.ArrayType(S.StringType()))
     def as_shorter(text: pd.Series) -> pd.Series:
         return text.map(lambda t: [] if t is None else shorter(t))
 

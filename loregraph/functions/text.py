@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from loregraph import types as T
 
@@ -18,7 +19,7 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(S.StringType())
 def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 

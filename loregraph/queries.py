@@ -72,8 +72,6 @@ def cooccurrence_chapters(spark, sf_dir):
 
 # --- text ---------------------------------------------------------------------------------------------
 
-_DIRTY_SPARK = r"é\t\r x\u000B\f  y\n\n\n\n z  "
-_WS = r"[\s\x0B]"
 
 
 @query(r"""
@@ -325,14 +323,14 @@ def wiki_best_match(spark, sf_dir):
 
 
 _PRIORITY_SQL = """
-e AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN n_name ELSE 'Q' || chr(0x4E00 + CAST(c_custkey % 50 AS INTEGER)) END AS name, c_custkey % 15 AS n, CASE WHEN c_custkey % 2 = 0 THEN 'character' ELSE 'location' END AS t FROM customer JOIN nation ON c_nationkey = n_nationkey),
+e AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN n_name ELSE 'QQ' || c_custkey % 50 || '#' END AS name, c_custkey % 15 AS n, CASE WHEN c_custkey % 2 = 0 THEN 'character' ELSE 'location' END AS t FROM customer JOIN nation ON c_nationkey = n_nationkey),
 p AS (SELECT c_custkey, t AS entity_type, CASE WHEN t = 'character' AND c_custkey % 4 = 0 THEN 'canonical' WHEN n >= 10 THEN 'major' ELSE 'minor' END AS priority FROM e)
 """
 
 
 def _prioritized(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "nation")
-    far = F.concat(F.lit("Q"), F.expr("decode(encode(chr(81), 'UTF-8'), 'UTF-8')"), (F.col("c_custkey") % 50).cast("string"), F.lit("#"))
+    far = F.concat(F.lit("QQ"), (F.col("c_custkey") % 50).cast("string"), F.lit("#"))
     e = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("entity_key"), F.when(F.col("c_custkey") % 2 == 0, "character").otherwise("location").alias("entity_type"),
         F.when(F.col("c_custkey") % 4 == 0, F.col("n_name")).otherwise(far).alias("name"), F.expr("cast(array() as array<string>)").alias("aliases"), (F.col("c_custkey") % 15).cast("int").alias("occurrence_count"),
@@ -417,7 +415,7 @@ def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").select("event_id", shaped.alias("response"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 5 < 3 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 5 < 4 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events")
 def json_recover(spark, sf_dir):
     return _answers(spark, sf_dir).select("event_id", F.try_variant_get(text.recovered_json(F.col("response")), "$.k", "long").alias("k"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from loregraph import types as T
 from loregraph.operators.wiki import markdown_parts
@@ -56,7 +57,7 @@ def front_matter_of(content: str | None) -> dict[str, str] | None:
     return out
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(S.MapType(S.StringType(), S.StringType()))
 def front_matter(content: pd.Series) -> pd.Series:
     return content.map(front_matter_of)
 

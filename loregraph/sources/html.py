@@ -11,6 +11,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from loregraph import types as T
 from loregraph.functions.text import normalize_text, word_count
@@ -109,12 +110,12 @@ def title_of(source: str | None) -> str | None:
     return next((t for k in TITLES if (t := " ".join(found.get(k, []))) and len(t) < T.MAX_TITLE), None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(S.StringType())
 def html_to_text(source: pd.Series) -> pd.Series:
     return source.map(text_of)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(S.StringType())
 def html_title(source: pd.Series) -> pd.Series:
     return source.map(title_of)
 
