@@ -43,14 +43,20 @@ def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b of one orderable type) to (v, root): the smallest node of each node's component, for
     every node with a link.
 
-    Each round points a node to its smallest neighbour if that is smaller, shortens the pointers twice
-    and contracts the links, so their number falls by a factor a round. A node with a great many links
-    is folded on the map side; links that become equal merge.
+    Each round ranks nodes by a new hash, points a node to its first neighbour in that rank if that comes
+    before it, shortens the pointers twice and contracts the links. Ranks are random, so paths of pointers
+    are short and a chain shrinks by a factor a round like any other shape. A node with a great many
+    links is folded on the map side; links that become equal merge.
     """
-    edges = checkpoint(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    label = None
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    edges = checkpoint(links.where("a <> b").select(*pair).distinct())
+    label, turn = None, 0
     while edges.limit(1).count():
-        parent = checkpoint(_jump(_jump(edges.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("p")))))
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("x"))  # noqa: B023, E731
+        turn += 1
+        ranked = edges.select(F.least(rank("a"), rank("b")).alias("u"), F.greatest(rank("a"), rank("b"))["x"].alias("v"))
+        parent = ranked.groupBy("v").agg(F.min("u").alias("u")).select("v", F.col("u.x").alias("p"))
+        parent = checkpoint(_jump(_jump(parent)))
         new = parent
         if label is not None:
             nxt = parent.select(F.col("v").alias("n_v"), F.col("p").alias("n_p"))
@@ -58,9 +64,9 @@ def components(links: DataFrame) -> DataFrame:
             new = old.unionByName(parent.join(label.select("v"), "v", "left_anti"))
         label = checkpoint(new)
         pa, pb = parent.select(F.col("v").alias("a"), F.col("p").alias("pa")), parent.select(F.col("v").alias("b"), F.col("p").alias("pb"))
-        moved = edges.join(pa, "a", "left").join(pb, "b", "left").select(F.coalesce("pa", "a").alias("x"), F.coalesce("pb", "b").alias("y"))
-        edges = checkpoint(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        moved = edges.join(pa, "a", "left").join(pb, "b", "left").select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
+        edges = checkpoint(moved.where("a <> b").select(*pair).distinct())
     if label is None:
         return links.select(F.col("a").alias("v"), F.col("b").alias("root")).where("false")
-    roots = label.select(F.col("p").alias("v"), F.col("p").alias("root")).distinct()
-    return label.select("v", F.col("p").alias("root")).unionByName(roots)
+    ends = checkpoint(label.groupBy(F.col("p").alias("e")).agg(F.least(F.min("v"), F.first("p")).alias("root")))
+    return label.join(ends, F.col("p") == F.col("e")).select("v", "root").unionByName(ends.select(F.col("e").alias("v"), "root"))
