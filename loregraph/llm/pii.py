@@ -131,3 +131,34 @@ def pii_report(docs: DataFrame) -> DataFrame:
         listed(F.col("pii")).alias("spans"),
         F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
+
+
+def sql() -> str:
+    """The report in SQL. Engines without look-behind can't bound account and social security numbers the
+    same way, so it lists the four base kinds; where a table holds neither, it gives every column."""
+    valid = {
+        "email": "true",
+        "ip": "regexp_full_match(x.m, '0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})){3}')",
+        "card": "length(regexp_replace(x.m, '[^0-9]', '', 'g')) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, 1 + length(regexp_replace(x.m, '[^0-9]', '', 'g'))), "
+        "lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(regexp_replace(x.m, '[^0-9]', '', 'g')), i, 1) AS INTEGER) "
+        "WHEN CAST(substr(reverse(regexp_replace(x.m, '[^0-9]', '', 'g')), i, 1) AS INTEGER) > 4 THEN 2 * CAST(substr(reverse(regexp_replace(x.m, '[^0-9]', '', 'g')), i, 1) AS INTEGER) - 9 "
+        "ELSE 2 * CAST(substr(reverse(regexp_replace(x.m, '[^0-9]', '', 'g')), i, 1) AS INTEGER) END)) % 10 = 0",
+        "phone": "length(regexp_replace(x.m, '[^0-9]', '', 'g')) BETWEEN 9 AND 15",
+    }
+    parts = []
+    for k in (k for k in KINDS if k.base):
+        start = "CAST(list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) AS INTEGER)"
+        placed = f"list_transform(range(1, 1 + len(m)), lambda i: {{'kind': '{k.name}', 's': {start}, 'e': {start} + CAST(length(m[i]) AS INTEGER), 'm': m[i]}})"
+        found = f"list_filter({placed}, lambda x: {valid[k.name]})"
+        near = f"lower(substr(t, greatest(x.s - {NEAR}, 0) + 1, least(x.s, {NEAR})) || ' ' || substr(t, x.e + 1, {NEAR}))"
+        score = f"{OPEN if k.name == 'phone' else SURE} + CASE WHEN regexp_matches({near}, '(?:^|[^a-z])(?:{k.context})') THEN {NEARBY} ELSE 0 END"
+        parts.append(f"SELECT doc_id, t, list_transform({found}, lambda x: {{'line': x.kind || ':' || x.s || ':' || x.e, 'score': CAST({score} AS VARCHAR)}}) AS f FROM (SELECT doc_id, t, regexp_extract_all(t, '{k.plain}') AS m, string_split_regex(t, '{k.plain}') AS g FROM d)")
+    names = [k.name for k in KINDS if k.base]
+    with_ = ", ".join(f"k{i} AS ({p})" for i, p in enumerate(parts))
+    joined = " JOIN ".join(["k0", *(f"k{i} USING (doc_id)" for i in range(1, len(parts)))])
+    every = "list_concat(list_concat(k0.f, k1.f), list_concat(k2.f, k3.f))"
+    lines = f"array_to_string(list_transform({every}, lambda x: x.line), ',')"
+    return (
+        f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {with_} SELECT doc_id, " + ", ".join(f"CAST(len(k{i}.f) AS BIGINT) AS n_{n}" for i, n in enumerate(names))
+        + f", sha256({lines}) AS base_sha256, {lines} AS spans, array_to_string(list_transform({every}, lambda x: x.score), ',') AS scores FROM {joined}"
+    )

@@ -59,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op4_maxscore": maxscore.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op4_maxscore": maxscore.SQL, "op5_pii": pii.sql(), "op9_warc": warc.SQL}

@@ -184,3 +184,13 @@ def warc_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     if not listed.limit(1).count():
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
     return read_archives(spark, folder, listed).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base32 from hexadecimal: groups of 40 bits are ten hexadecimal figures and eight letters.
+SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(s, (i // 8) * 10 + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM g
+"""
