@@ -91,7 +91,7 @@ FALSE_ACCEPT = 0.005
 UNKNOWN = "unknown"
 
 #: A piece with none of these has only n-grams of weight 0 and is no paragraph to classify.
-_ANCHOR = re.compile(r"(?i)licen[sc]e|\bspdx\b|\bgpl|\bcc0\b|\bcc[ -]by\b|public domain|creative commons|hereby granted|redistribution and use|free software|copyright notice|copyright holder|waived all copyright|mozilla public|warranties or conditions")
+_ANCHOR = re.compile(r"(?i)licen[sc]e|\bspdx\b|\b[al]?gpl\b|under the terms of|released under|available under|\bbsd-|\bapache-2|\bmpl-|\bcc0\b|\bcc[ -]by\b|public domain|creative commons|hereby granted|redistribution and use|free software|copyright notice|copyright holder|waived all copyright|mozilla public|warranties or conditions")
 _PIECE = re.compile(r"[^\n]+?(?:[.!?](?=\s)|(?=\n)|\Z)", re.S)
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
