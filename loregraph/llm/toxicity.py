@@ -17,6 +17,7 @@ driver is bounded by it and by ``ENTRIES``. Scoring sees whole texts and nothing
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,11 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows to learn from at most, lexicon entries at most, and documents that an entry needs.
-SAMPLE, ENTRIES, LEAST = 20_000, 4096, 4
+SAMPLE, ENTRIES, LEAST = 20_000, 4096, 3
 #: Groups of toxic and of clean lexicon entries, each a voter.
 TOXIC_GROUPS, CLEAN_GROUPS = 24, 8
 #: Lengths of the word beginnings that count beside words.
 BEGINNINGS = (4, 5, 6)
+#: Entries for a number of different words that are toxic entries.
+HITS = ((1, "#1"), (2, "#2"), (4, "#4"))
+#: Share of labels taken to be wrong.
+WRONG = 0.03
+#: Smallest ratio of an entry's shares under the two labels, and smallest likelihood-ratio statistic.
+RATIO, SIGNIFICANT = 5.0, 10.8
 #: Score from which a document is taken for toxic.
 REJECT = 0.7
 
@@ -51,8 +58,8 @@ _PATTERNS = (
 class _Features(dict):
     """The lexicon entries of a word: the word and its beginnings, as far as ``known`` (None: all)."""
 
-    def __init__(self, known: dict[str, int] | None = None):
-        self.known = known
+    def __init__(self, known: dict[str, int] | None = None, toxic: int = 0):
+        self.known, self.toxic = known, toxic
 
     def __missing__(self, word: str):
         if len(self) > 300_000:
@@ -67,10 +74,15 @@ def words_of(text: str | None) -> set[str]:
 
 
 def entries_of(text: str | None, features: _Features) -> set:
+    """The entries in a text, and of ``HITS`` those for which enough of its words are toxic entries."""
     found: set = set()
+    known, hits = features.known, 0
     for w in words_of(text):
         if got := features[w]:
             found.update(got)
+            hits += known is not None and any(i < features.toxic for i in got)
+    if hits:
+        found.update(known[name] for n, name in HITS if hits >= n and name in known)
     return found
 
 
@@ -79,23 +91,24 @@ class Model:
     """Score of a text: 1 / (1 + exp(-(bias + sum of weights of the entries in it)))."""
 
     entries: dict[str, int] = field(default_factory=dict)
+    toxic: int = 0  # so many entries, the first, are toxic ones
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = -3.0
 
 
 def seed_model() -> Model:
     """What scores where there are no labels of both kinds to learn from."""
-    return Model({f"={w}": i for i, w in enumerate(SEEDS)}, np.full(len(SEEDS), 5.0), -3.0)
+    return Model({f"={w}": i for i, w in enumerate(SEEDS)}, len(SEEDS), np.full(len(SEEDS), 5.0), -3.0)
 
 
-def votes(present: list[np.ndarray], texts_votes: np.ndarray, sign: np.ndarray) -> np.ndarray:
-    """(documents, voters) of 1 toxic, -1 clean, 0 none. ``sign``: of each entry, 1 toxic, -1 clean."""
-    toxic, clean = np.flatnonzero(sign > 0), np.flatnonzero(sign < 0)
-    group = np.zeros(len(sign), int)
-    group[toxic] = np.arange(len(toxic)) % TOXIC_GROUPS
-    group[clean] = TOXIC_GROUPS + np.arange(len(clean)) % CLEAN_GROUPS
+def votes(present: list[np.ndarray], texts_votes: np.ndarray, sign: np.ndarray, names: list[str]) -> np.ndarray:
+    """(documents, voters) of 1 toxic, -1 clean, 0 none. ``sign``: of each entry, 1 toxic, -1 clean.
+    Entries that begin alike are of one group: a word has one vote."""
+    stem = np.array([zlib.crc32(x.lstrip("=")[: BEGINNINGS[0]].encode()) for x in names], np.int64)
+    group = np.where(sign > 0, stem % TOXIC_GROUPS, TOXIC_GROUPS + stem % CLEAN_GROUPS)
     out = np.zeros((len(present), TOXIC_GROUPS + CLEAN_GROUPS + 2), np.int8)
     for i, ids in enumerate(present):
+        ids = ids[ids < len(sign)]
         g = group[ids]
         out[i, g] = np.where(g < TOXIC_GROUPS, 1, -1)
         hits = int((sign[ids] > 0).sum())
@@ -104,13 +117,15 @@ def votes(present: list[np.ndarray], texts_votes: np.ndarray, sign: np.ndarray)
     return np.hstack([out, texts_votes])
 
 
-def label_model(v: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(v: np.ndarray, prior: float, hint: np.ndarray | None = None, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of label 1, each voter's P(vote | label) as (voters, 2, 3), and the votes' correlations
-    under the same label."""
+    under the same label. ``hint``: labels, which vote too and are wrong in ``WRONG`` of all cases; without
+    them voters that copy each other can pass for the label."""
     n, m = v.shape
     shown = np.stack([v == x for x in (-1, 0, 1)], axis=2).astype(float)
     weight = np.ones(m)
-    post = np.clip(0.5 + 0.5 * np.tanh(v.sum(axis=1) / 2), 0.02, 0.98)
+    told = 0.0 if hint is None else np.log((1 - WRONG) / WRONG) * (2 * hint - 1)
+    post = np.clip(0.5 + 0.5 * np.tanh(v.sum(axis=1) / 2), 0.02, 0.98) if hint is None else WRONG + (1 - 2 * WRONG) * hint
     rho = np.zeros((m, m))
     for again in range(2):
         for _ in range(rounds):
@@ -119,7 +134,7 @@ def label_model(v: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarr
             acc = np.einsum("nk,nmv->mkv", y, shown) + np.array([[2.0, 1.0, 0.2], [0.2, 1.0, 2.0]])
             acc /= acc.sum(axis=2, keepdims=True)
             like = np.einsum("nmv,mkv,m->nk", shown, np.log(acc), weight) + np.log([1 - prior, prior])
-            post = 1 / (1 + np.exp(np.clip(like[:, 0] - like[:, 1], -50, 50)))
+            post = 1 / (1 + np.exp(np.clip(like[:, 0] - like[:, 1] - told, -50, 50)))
         if again == 0:
             mean = np.einsum("nk,nm->km", y, v.astype(float)) / np.maximum(y.sum(axis=0)[:, None], 1)
             left = v - y @ mean
@@ -131,7 +146,7 @@ def label_model(v: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarr
     return post, acc, rho
 
 
-def logistic(present: list[np.ndarray], target: np.ndarray, width: int, penalty: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, float]:
+def logistic(present: list[np.ndarray], target: np.ndarray, width: int, penalty: float = 2e-5, steps: int = 500) -> tuple[np.ndarray, float]:
     """Full-batch Adam on the cross entropy with soft targets."""
     rows = np.repeat(np.arange(len(present)), [len(x) for x in present])
     cols = np.concatenate(present) if len(rows) else np.zeros(0, int)
@@ -192,17 +207,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     g2 = 2 * (part(F.col("t"), nt * share) + part(F.col("c"), nc * share))
     sign = F.when(F.col("t") / float(nt) > F.col("c") / float(nc), 1).otherwise(-1)
-    scored = counts.where("entry <> ''").select("entry", "t", "c", g2.alias("g2"), sign.alias("sign"))
+    odds = F.log((F.col("t") + 0.5) / (nt + 1.0)) - F.log((F.col("c") + 0.5) / (nc + 1.0))
+    likely = counts.where("entry <> ''").where(F.abs(odds) >= float(np.log(RATIO)))
+    scored = likely.select("entry", g2.alias("g2"), sign.alias("sign")).where(F.col("g2") >= SIGNIFICANT)
     # Bounded: ENTRIES rows come to the driver. A quarter may speak for clean texts.
-    top = [r for s, k in ((1, ENTRIES * 3 // 4), (-1, ENTRIES // 4)) for r in scored.where(F.col("sign") == s).where("g2 > 4").orderBy(F.desc("g2"), "entry").limit(k).collect()]
+    top = [r for s, k in ((1, ENTRIES * 3 // 4), (-1, ENTRIES // 4)) for r in scored.where(F.col("sign") == s).orderBy(F.desc("g2"), "entry").limit(k).collect()]
     entries, signs = {r["entry"]: i for i, r in enumerate(top)}, np.array([r["sign"] for r in top])
     if not entries:
         return seed_model()
+    toxic = int((signs > 0).sum())  # toxic ones come first
+    entries |= {name: len(entries) + i for i, (_, name) in enumerate(HITS)}
 
     seeds = set(SEEDS)
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        features = _Features(entries)
+        features = _Features(entries, toxic)
         for pdf in batches:
             own = [[int(bool(p.search(t))) for p in _PATTERNS] + [int(not seeds.isdisjoint(words_of(t)))] for t in pdf["text"]]
             yield pd.DataFrame({"l_id": pdf["l_id"], "toxic": pdf["toxic"].astype("int64"), "ids": [sorted(entries_of(t, features)) for t in pdf["text"]], "own": own})
@@ -211,12 +230,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = texts.mapInPandas(mark, "l_id long, toxic long, ids array<int>, own array<int>").toPandas().sort_values(["l_id"], kind="stable")
     present = [np.asarray(x, int) for x in rows["ids"]]
     y = rows["toxic"].to_numpy(float)
-    v = votes(present, np.array(rows["own"].tolist(), np.int8).reshape(len(rows), -1), signs)
-    post, _, _ = label_model(v, float(np.clip(y.mean(), 0.01, 0.99)))
+    v = votes(present, np.array(rows["own"].tolist(), np.int8).reshape(len(rows), -1), signs, [r["entry"] for r in top])
+    post, _, _ = label_model(v, float(np.clip(y.mean(), 0.01, 0.99)), y)
     w, b = logistic(present, post, len(entries))
     z = b + np.array([w[x].sum() for x in present])
     a, shift = _platt(z, y)
-    return Model(entries, w * a, b * a + shift)
+    return Model(entries, toxic, w * a, b * a + shift)
 
 
 def score_texts(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
@@ -225,7 +244,7 @@ def score_texts(docs: DataFrame, model: Model, into: str = "score") -> DataFrame
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = sent.value
-        features = _Features(m.entries)
+        features = _Features(m.entries, m.toxic)
         for s in batches:
             z = np.array([m.bias + sum(m.weights[i] for i in sorted(entries_of(t, features))) for t in s], float)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -50, 50))))
