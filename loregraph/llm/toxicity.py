@@ -128,7 +128,8 @@ def label_model(v: np.ndarray, prior: float, hint: np.ndarray | None = None, rou
     post = np.clip(0.5 + 0.5 * np.tanh(v.sum(axis=1) / 2), 0.02, 0.98) if hint is None else WRONG + (1 - 2 * WRONG) * hint
     rho = np.zeros((m, m))
     for again in range(2):
-        for _ in range(rounds):
+        # With labels the first pass only measures the votes around them.
+        for _ in range(rounds if hint is None or again else 1):
             y = np.stack([1 - post, post], axis=1)
             # Smoothing leans each voter slightly to its own side, so the classes don't swap.
             acc = np.einsum("nk,nmv->mkv", y, shown) + np.array([[2.0, 1.0, 0.2], [0.2, 1.0, 2.0]])

@@ -18,12 +18,12 @@ from loregraph.llm import exact_dedup, html_extract, licenses, maxscore, mixing,
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Columns with the names that operators use inside.
-CLASH = {c: F.lit(1) for c in ("digest", "of", "key", "v", "n", "rep", "set_key", "root", "part", "units", "h", "score", "pii", "ids", "sha1", "last", "shard", "copies", "lang")}
+CLASH = ("digest", "of", "key", "v", "n", "rep", "set_key", "root", "part", "units", "h", "score", "pii", "ids", "sha1", "last", "shard", "copies", "lang")
 
 
 def docs(spark, data, clash=True):
     df = spark.createDataFrame([(i, t, s) for i, t, s in data], "doc_id long, text string, source string")
-    return df.withColumns(CLASH) if clash else df
+    return df.withColumns({c: F.lit(1) for c in CLASH}) if clash else df
 
 
 def table(spark, name):
@@ -200,7 +200,7 @@ def test_maxscore_odd(spark):
     rng = random.Random(2)
     data = [(i, [rng.gauss(0, 1) for _ in range(8)], 1) for i in range(150)]
     data += [(200 + i, [0.5] * 8, 1) for i in range(60)] + [(300, None, 1), (301, [1.0, None], 1), (302, [math.nan], 1), (303, [math.inf], 1), (None, [1.0], 1), (320, [1.0, 2.0], 1), (340, [], 1), (20, data[20][1], 1), (5, [3e9] * 8, 1)]
-    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").withColumns(CLASH)
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").withColumns({c: F.lit(1) for c in CLASH})
     clean = {(i, tuple(math.floor(64 * x) for x in v)) for i, v, _ in data if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
     expected = []
     for q, a in clean:
@@ -301,7 +301,7 @@ def test_unigram_words_are_enough():
     assert u.splits
     for text in ("The quick  brown fox.", " lead", "naïve 漢字 \U0001f600\n\ttab", "a" * 300, "\x00 odd \x7f", "éèê ça"):
         ids = u.encode(text)
-        assert tuple(ids) == u.viterbi(unigram.MARK + text.replace(" ", unigram.MARK))
+        assert list(ids) == u.viterbi(unigram.MARK + text.replace(" ", unigram.MARK))
         assert u.decode(ids) == text
 
 
@@ -334,7 +334,8 @@ def test_label_model():
     good = [np.where(rng.random(3000) < a, np.where(y, 1, -1), np.where(y, -1, 1)) for a in (0.9, 0.8, 0.75)]
     copied = [np.where(rng.random(3000) < 0.97, good[2], -good[2]) for _ in range(3)]
     v = np.stack([*good, *copied], axis=1).astype(np.int8)
-    post, acc, rho = toxicity.label_model(v, 0.3)
+    hint = np.where(rng.random(3000) < 0.05, ~y, y).astype(float)
+    post, acc, rho = toxicity.label_model(v, 0.3, hint)
     assert rho[3, 4] > 0.5
     assert abs(rho[0, 1]) < 0.3
     assert ((post > 0.5) == y).mean() > 0.8
