@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loregraph.functions.text import chapter_of
-from loregraph.storage import checkpoint
+from loregraph.storage import table
 
 
 def mention_index(mentions: DataFrame) -> DataFrame:
@@ -49,24 +49,24 @@ def components(links: DataFrame) -> DataFrame:
     links is folded on the map side; links that become equal merge.
     """
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    edges = checkpoint(links.where("a <> b").select(*pair).distinct())
+    edges = table(links.where("a <> b").select(*pair).distinct())
     label, turn = None, 0
     while edges.limit(1).count():
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("x"))  # noqa: B023, E731
         turn += 1
         ranked = edges.select(F.least(rank("a"), rank("b")).alias("u"), F.greatest(rank("a"), rank("b"))["x"].alias("v"))
         parent = ranked.groupBy("v").agg(F.min("u").alias("u")).select("v", F.col("u.x").alias("p"))
-        parent = checkpoint(_jump(_jump(parent)))
+        parent = table(_jump(_jump(parent)))
         new = parent
         if label is not None:
             nxt = parent.select(F.col("v").alias("n_v"), F.col("p").alias("n_p"))
             old = label.join(nxt, F.col("p") == F.col("n_v"), "left").select("v", F.coalesce("n_p", "p").alias("p"))
             new = old.unionByName(parent.join(label.select("v"), "v", "left_anti"))
-        label = checkpoint(new)
+        label = table(new)
         pa, pb = parent.select(F.col("v").alias("a"), F.col("p").alias("pa")), parent.select(F.col("v").alias("b"), F.col("p").alias("pb"))
         moved = edges.join(pa, "a", "left").join(pb, "b", "left").select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
-        edges = checkpoint(moved.where("a <> b").select(*pair).distinct())
+        edges = table(moved.where("a <> b").select(*pair).distinct())
     if label is None:
         return links.select(F.col("a").alias("v"), F.col("b").alias("root")).where("false")
-    ends = checkpoint(label.groupBy(F.col("p").alias("e")).agg(F.least(F.min("v"), F.first("p")).alias("root")))
+    ends = table(label.groupBy(F.col("p").alias("e")).agg(F.least(F.min("v"), F.first("p")).alias("root")))
     return label.join(ends, F.col("p") == F.col("e")).select("v", "root").unionByName(ends.select(F.col("e").alias("v"), "root"))

@@ -29,3 +29,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def table(df: DataFrame, kind: str = "table") -> DataFrame:
+    """A written table in the shared folder. Unlike a checkpoint it hands on neither constraints nor a
+    partitioning, and its size is known to the planner: right for loops, whose plans must not grow."""
+    at = new_folder(df.sparkSession, kind)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
