@@ -3,41 +3,20 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loregraph.storage import checkpoint, new_folder, shared_dir, table
+
+__all__ = ["WORD", "WS", "checkpoint", "load", "new_folder", "shards", "shared_dir", "table", "words"]
+
 #: Fixed value: the white space of every contract here, space and the controls 9 to 13.
 WS = r"[\x20\x09-\x0D]+"
 #: Fixed value: a word is a run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session, and only
-    where that is unset (tests on one machine) a temporary folder."""
-    sc = spark.sparkContext
-    at = sc.getCheckpointDir()
-    if at:
-        return at
-    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(at or "file://" + os.path.join(tempfile.gettempdir(), "loregraph-checkpoints"))
-    return sc.getCheckpointDir()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint: it outlives any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def new_folder(spark: SparkSession, kind: str) -> str:
-    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
-
-
 def shards(rows: int, each: int, least: int = 256) -> int:
     """Number of hash shards for so many rows: it grows with the data, so a shard doesn't."""
     return max(least, math.ceil(rows / each))

@@ -7,8 +7,8 @@ registers that agree by chance, drops those far below the threshold; the rest is
 
 How hot groups stay small: documents with equal sets are one representative; a band bucket with more
 than ``SMALL`` representatives first proposes only stars around one of them, and after their components
-are known, tiles of it compare the members whose components still differ. Nothing emits all pairs of a
-group, and no bucket is capped.
+are known, tiles of it compare and confirm in memory the members whose components still differ. Nothing
+emits all pairs of a group, and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import checkpoint
-from .components import components
+from loregraph.operators.graph import components
+
+from ._util import table
 
 #: Registers in a band. Bands are as many as leave a pair at the threshold out once in 1 / MISS cases.
 ROWS, MISS = 5, 1e-7
@@ -30,8 +31,9 @@ ROWS, MISS = 5, 1e-7
 MANTISSA = 10
 #: Standard deviations below the threshold at which an estimate still goes to verification.
 SIGMAS = 4.5
-#: Buckets up to this size propose all their pairs; tiles of larger ones hold so many documents.
-SMALL, TILE = 8, 1024
+#: Buckets up to this size propose all their pairs; tiles of larger ones hold about so many documents and
+#: shingles at most.
+SMALL, TILE, TILE_MASS = 8, 1024, 1_500_000
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -171,6 +173,14 @@ def _unpack(packed: bytes) -> np.ndarray:
     return wide.view(np.uint64).ravel()
 
 
+def _similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets: a common shingle is an equal neighbour in
+    their merged order."""
+    merged = np.sort(np.concatenate([p, q]), kind="stable")
+    common = int((merged[1:] == merged[:-1]).sum())
+    return 100 * common >= percent * (len(p) + len(q) - common)
+
+
 def likely(pairs: DataFrame, sketches: DataFrame, percent: int, total: int) -> DataFrame:
     """The pairs (a, b) whose corrected estimate is near the threshold or above."""
     sk = sketches.select("v", "n", "regs")
@@ -197,44 +207,66 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for pdf in batches:
             ok = []
             for p, q in zip(pdf["set_a"], pdf["set_b"], strict=True):
-                p, q = _unpack(p), _unpack(q)
-                # Both are sorted sets: an equal neighbour in the merged order is a common shingle.
-                merged = np.sort(np.concatenate([p, q]), kind="stable")
-                common = int((merged[1:] == merged[:-1]).sum())
-                ok.append(100 * common >= percent * (len(p) + len(q) - common))
+                ok.append(_similar(_unpack(p), _unpack(q), percent))
             yield pdf.loc[ok, ["a", "b"]]
 
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     return both.select("a", "b", "set_a", "set_b").mapInPandas(run, "a long, b long")
 
 
-def _tiles(members: DataFrame, percent: int, total: int, best_only: bool) -> DataFrame:
-    """Likely pairs across components within large buckets. ``members``: key, n_key (bucket's size), v, n,
-    regs, root. A bucket of m documents is m / TILE tiles; each pair of tiles is one task's group."""
+def _unite(parent: dict[int, int], x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _tiles(members: DataFrame, percent: int, total: int) -> DataFrame:
+    """Confirmed links (a, b) that join components within large buckets. ``members``: key, band, n_key and
+    mass (the bucket's documents and shingles), v, n, regs, shingles, root. A bucket is cut into tiles of
+    bounded count and bytes, and each pair of tiles is a group of its own. A pair of documents is looked
+    at only in the first band that they share, and only while its components are apart in this group, the
+    likeliest pairs first; so a group gives fewer links than it has components, and leaves out none that
+    would join two of them."""
     least = _least(percent, total)
-    tile = F.pmod(F.xxhash64("v"), F.col("tiles")).cast("int")
     dealt = (
-        members.withColumn("tiles", F.ceil(F.col("n_key") / TILE)).withColumn("t", tile)
+        members.withColumn("tiles", F.ceil(F.greatest(F.col("n_key") / TILE, F.col("mass") / TILE_MASS)))
+        .withColumn("t", F.pmod(F.xxhash64("v"), F.col("tiles")).cast("int"))
         .withColumn("o", F.explode(F.sequence(F.lit(0), (F.col("tiles") - 1).cast("int"))))
-        .select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "v", "n", "regs", "root")
+        .select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "band", "v", "n", "regs", "shingles", "root")
     )
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        left, right = pdf[pdf["t"] == key[1]], pdf[pdf["t"] == key[2]]
+        links: list[tuple[int, int]] = []
+        left, right = np.flatnonzero(pdf["t"] == key[1]), np.flatnonzero(pdf["t"] == key[2])
         if pdf["root"].nunique() > 1 and len(left) and len(right):
-            regs, n, root, v = (np.frombuffer(b"".join(right["regs"]), np.uint16).reshape(-1, total), *(right[c].to_numpy() for c in ("n", "root", "v")))
-            for r, size, own, me in zip(left["regs"], left["n"], left["root"], left["v"], strict=True):
-                other = np.flatnonzero((root != own) & (np.minimum(n, size) * 100 >= np.maximum(n, size) * percent))
+            regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, total)
+            n, root, v, band = pdf["n"].to_numpy(), pdf["root"].to_numpy(), pdf["v"].to_numpy(), int(pdf["band"].iloc[0])
+            found = []
+            for i in left:
+                other = right[(root[right] != root[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
+                if key[1] == key[2]:
+                    other = other[other > i]
                 if len(other):
-                    est = estimate((regs[other] == np.frombuffer(r, np.uint16)).sum(1), total, np.full(len(other), size), n[other])
-                    near = pd.DataFrame({"v": v[other], "root": root[other], "e": est})[est >= least]
-                    if best_only:
-                        near = near.sort_values("e", ascending=False).drop_duplicates("root")
-                    found += [(min(me, x), max(me, x)) for x in near["v"]]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+                    same = regs[other] == regs[i]
+                    first = same[:, : (band + 1) * ROWS].reshape(len(other), -1, ROWS).all(axis=2).argmax(axis=1) == band
+                    est = estimate(same.sum(1), total, np.full(len(other), n[i]), n[other])
+                    ok = first & (est >= least)
+                    found += zip(est[ok], np.full(int(ok.sum()), i), other[ok], strict=True)
+            sets: dict[int, np.ndarray] = {}
+            parent: dict[int, int] = {}
+            for _, i, j in sorted(found, reverse=True):
+                x, y = _unite(parent, int(root[i])), _unite(parent, int(root[j]))
+                if x != y:
+                    for k in (i, j):
+                        if k not in sets:
+                            sets[k] = _unpack(pdf["shingles"].iat[k])
+                    if _similar(sets[i], sets[j], percent):
+                        parent[max(x, y)] = min(x, y)
+                        links.append((int(min(v[i], v[j])), int(max(v[i], v[j]))))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -249,39 +281,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     repeated rows get equal results. An empty table gives an empty result.
     """
     total = bands_for(percent) * ROWS
-    all_docs = checkpoint(sketch(docs, k, percent))
+    all_docs = table(sketch(docs, k, percent))
     # One representative of equal sets.
     classes = all_docs.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    classes = checkpoint(classes)
-    reps = checkpoint(
+    classes = table(classes)
+    reps = table(
         all_docs.select(F.col("doc_id").alias("v"), "n", F.col("set_key").alias("s"), "regs", "bands")
         .join(classes, (F.col("v") == F.col("rep")) & (F.col("s") == F.col("set_key"))).dropDuplicates(["v"]).select("v", "n", "regs", "bands")
     )
-    rows = reps.select("v", F.explode("bands").alias("key"))
+    rows = reps.select("v", F.posexplode("bands").alias("band", "key"))
     buckets = rows.groupBy("key").agg(F.count("*").alias("n_key"), F.min("v").alias("hub")).where("n_key > 1")
-    shared = checkpoint(rows.join(buckets.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).select("key", "v", "n_key", "hub"))
+    shared = table(rows.join(buckets.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).select("key", "band", "v", "n_key", "hub"))
 
     few = shared.where(F.col("n_key") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("v")).alias("vs"))
     pairs = few.select(F.explode(F.expr("flatten(transform(vs, (x, i) -> transform(slice(vs, i + 2, size(vs)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
     stars = shared.where((F.col("n_key") > SMALL) & (F.col("v") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("v").alias("b"))
-    first = checkpoint(likely(pairs.unionByName(stars).distinct(), reps, percent, total))
+    first = table(likely(pairs.unionByName(stars).distinct(), reps, percent, total))
 
     large = shared.where(F.col("n_key") > SMALL)
     wanted = first.select(F.col("a").alias("w")).union(first.select("b")).union(large.select("v")).distinct()
-    sets = checkpoint(full_sets(docs, k).join(wanted, F.col("v") == F.col("w")).dropDuplicates(["v"]).select("v", "shingles"))
-    links = checkpoint(confirmed(first, sets, percent))
-    for best_only in (True, False):
-        roots = checkpoint(components(links))
-        named = large.select("key", "v", "n_key").join(roots.select(F.col("v").alias("r_v"), "root"), F.col("v") == F.col("r_v"), "left").select("key", "v", "n_key", F.coalesce("root", "v").alias("root"))
-        mixed = named.groupBy(F.col("key").alias("m_key")).agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("m_key")
-        members = named.join(mixed, F.col("key") == F.col("m_key")).join(reps.select(F.col("v").alias("s_v"), "n", "regs"), F.col("v") == F.col("s_v"))
-        more = checkpoint(_tiles(members.select("key", "n_key", "v", "n", "regs", "root"), percent, total, best_only))
-        if not more.limit(1).count():
-            break
-        new = checkpoint(confirmed(more, sets, percent))
-        if new.limit(1).count():
-            links = checkpoint(links.unionByName(new).distinct())
-    roots = checkpoint(components(links))
+    sets = table(full_sets(docs, k).join(wanted, F.col("v") == F.col("w")).dropDuplicates(["v"]).select("v", "shingles"))
+    links = table(confirmed(first, sets, percent))
+    roots = components(links)
+    named = large.select("key", "band", "v", "n_key").join(roots.select(F.col("v").alias("r_v"), "root"), F.col("v") == F.col("r_v"), "left").select("key", "band", "v", "n_key", F.coalesce("root", "v").alias("root"))
+    # Only buckets with two components or more have anything left to find.
+    held = named.join(reps.select(F.col("v").alias("s_v"), "n", "regs"), F.col("v") == F.col("s_v")).drop("s_v")
+    mixed = held.groupBy(F.col("key").alias("m_key")).agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("mass")).where("x <> y").select("m_key", "mass")
+    members = held.join(mixed, F.col("key") == F.col("m_key")).join(sets.select(F.col("v").alias("s_v"), "shingles"), F.col("v") == F.col("s_v"))
+    links = table(links.unionByName(_tiles(members, percent, total)))
+    roots = components(links)
     found = classes.join(roots, F.col("rep") == F.col("v"), "left").select(F.col("set_key").alias("of"), F.coalesce("root", "rep").alias("component"))
     linked = all_docs.select("doc_id", "n", "set_key").join(found, F.col("set_key") == F.col("of"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
