@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 #: Fixed value: the white-space marker.
 MARK = "▁"
 #: Words that a worker remembers, and the longest of them.
-MEMORY, LONGEST = 400_000, 64
+MEMORY, LONGEST = 600_000, 64
 #: How much a byte piece scores below the worst ordinary piece, as is usual for unknown pieces.
 BYTE_PENALTY = 10.0
 #: A piece of work: a marker run with what follows it.
@@ -96,7 +96,7 @@ class DoubleArray:
                 used[place - low + c] = 1
                 parent[place - low + c] = state
                 stack.append((place - low + c, start, end, depth + 1))
-        size = max(parent) + 1
+        size = max(parent) + 258  # so that a step from any state stays inside
         self.base, self.check, self.value = [0] * size, [-1] * size, [-1] * size
         for column, found in ((self.base, base), (self.check, parent), (self.value, value)):
             for k, x in found.items():
@@ -104,11 +104,11 @@ class DoubleArray:
 
     def prefixes(self, text: bytes, at: int) -> Iterator[tuple[int, int]]:
         """(end, id) of each key that starts at ``at``."""
-        base, check, value, size = self.base, self.check, self.value, len(self.check)
+        base, check, value = self.base, self.check, self.value
         s = 0
         for i in range(at, len(text)):
             t = base[s] + text[i] + 1
-            if t >= size or check[t] != s:
+            if check[t] != s:
                 return
             s = t
             if value[s] >= 0:
@@ -126,68 +126,98 @@ class Unigram:
         self.floor = min((s for s, k in zip(vocabulary.scores, vocabulary.kinds, strict=True) if k == "n"), default=0.0) - BYTE_PENALTY
         inner = [p for p, k in zip(vocabulary.pieces, vocabulary.kinds, strict=True) if k == "n" and MARK in p.lstrip(MARK)]
         self.splits = not inner  # else a piece may cross words, and texts are taken whole
-        self.bytes_of = [bytes([int(p[3:5], 16)]) if k == "b" else p.replace(MARK, " ").encode() if k == "n" else b"" for p, k in zip(vocabulary.pieces, vocabulary.kinds, strict=True)]
-        self.memory: dict[str, tuple[int, ...]] = {}
+        named = [bytes([int(p[3:5], 16)]) if k == "b" else p.replace(MARK, " ").encode() if k == "n" else b"" for p, k in zip(vocabulary.pieces, vocabulary.kinds, strict=True)]
+        self.width = np.array([len(x) for x in named], np.int64)
+        self.start = np.cumsum(self.width) - self.width
+        self.text_bytes = np.frombuffer(b"".join(named), np.uint8)
+        self.memory = _Memory(self, not any("\n" in p for p, k in zip(vocabulary.pieces, vocabulary.kinds, strict=True) if k == "n"))
 
-    def viterbi(self, text: str) -> tuple[int, ...]:
+    def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation; of equal ones that whose last pieces start earliest."""
         raw, scores = text.encode(), self.v.scores
-        best, back = [-math.inf] * (len(raw) + 1), [(0, -1)] * (len(raw) + 1)
+        base, check, value, floor = self.trie.base, self.trie.check, self.trie.value, self.floor
+        n = len(raw)
+        best, back, piece = [-math.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
-        for i in range(len(raw)):
-            if best[i] == -math.inf:
+        for i in range(n):
+            here = best[i]
+            if here == -math.inf:
                 continue
-            width = 1 if raw[i] < 0x80 else 2 if raw[i] < 0xE0 else 3 if raw[i] < 0xF0 else 4
-            alone = False
-            for end, piece in self.trie.prefixes(raw, i):
-                alone |= end == i + width
-                if (score := best[i] + scores[piece]) > best[end]:
-                    best[end], back[end] = score, (i, piece)
-            if not alone and (score := best[i] + self.floor) > best[i + width]:
-                best[i + width], back[i + width] = score, (i, -1)
+            lead = raw[i]
+            end = i + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+            alone, s, j = False, 0, i
+            while j < n:
+                t = base[s] + raw[j] + 1
+                if check[t] != s:
+                    break
+                s = t
+                j += 1
+                v = value[s]
+                if v >= 0:
+                    if j == end:
+                        alone = True
+                    score = here + scores[v]
+                    if score > best[j]:
+                        best[j], back[j], piece[j] = score, i, v
+            if not alone and here + floor > best[end]:
+                best[end], back[end], piece[end] = here + floor, i, -1
         out: list[int] = []
-        at = len(raw)
+        at = n
         while at:
-            start, piece = back[at]
-            if piece >= 0:
-                out.append(piece)
+            start = back[at]
+            if piece[at] >= 0:
+                out.append(piece[at])
             elif self.byte_ids:
                 out += [self.byte_ids[b] for b in reversed(raw[start:at])]
             else:
                 out.append(self.unknown)
             at = start
-        return tuple(reversed(out))
-
-    def word(self, word: str) -> tuple[int, ...]:
-        if (ids := self.memory.get(word)) is None:
-            ids = self.viterbi(word)
-            if len(word) <= LONGEST:
-                if len(self.memory) >= MEMORY:
-                    self.memory.clear()
-                self.memory[word] = ids
-        return ids
+        out.reverse()
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text; the empty text has none."""
         if not text:
             return np.zeros(0, np.int32)
-        marked = MARK + text.replace(" ", MARK)
         if not self.splits:
-            return np.array(self.viterbi(marked), np.int32)
-        out: list[int] = []
-        memory = self.memory
-        for w in _WORDS.findall(marked):
-            out += memory.get(w) or self.word(w)
-        return np.array(out, np.int32)
+            return np.array(self.viterbi(MARK + text.replace(" ", MARK)), np.int32)
+        known = self.memory
+        if "  " in text or text[0] == " " or MARK in text:  # runs of markers belong together
+            parts = [known[w] for w in _WORDS.findall(MARK + text.replace(" ", MARK))]
+        else:
+            # A word that follows a space; or, where no piece holds a line end, one that follows that.
+            parts = [known[w] for w in (text.replace("\n", " \n") if known.breaks else text).split(" ")]
+        return np.frombuffer(b"".join(parts), "<i4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: markers are spaces, byte pieces join to characters, and the space that
         encoding puts in front goes. Bytes that are no UTF-8 become U+FFFD."""
-        names = self.bytes_of
-        raw = b"".join([names[i] for i in ids])
+        if not len(ids):
+            return ""
+        ids = np.asarray(ids, np.int64)
+        width = self.width[ids]
+        shift = np.repeat(self.start[ids] - np.cumsum(width) + width, width)
+        raw = self.text_bytes[shift + np.arange(len(shift))].tobytes()
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+class _Memory(dict):
+    """Ids of words as bytes. A word is what stands after a space and gets the marker; one that begins
+    with a marker, or with a line end that no piece holds, is taken as it is."""
+
+    def __init__(self, tokenizer: Unigram, breaks: bool):
+        self.tokenizer, self.breaks = tokenizer, breaks
+
+    def __missing__(self, word: str) -> bytes:
+        whole = word if word[:1] == MARK or self.breaks and word[:1] == "\n" else MARK + word
+        ids = np.array(self.tokenizer.viterbi(whole), "<i4").tobytes()
+        if len(word) <= LONGEST:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 def _shared(docs: DataFrame, model_file: str):
     """The vocabulary, read once on the driver and sent to each executor: a file of fixed size."""
     return docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_file))
@@ -231,7 +261,7 @@ def decode(docs: DataFrame, model_file: str, ids: str = "ids", into: str = "deco
 
 def token_report(docs: DataFrame, model_file: str) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, n_bytes (tokens that are byte
-    pieces), ids_sha256 (of the ids, comma-joined), round_trip (the ids decode to the text).
+    pieces), ids_sha256 (of the ids as little-endian 32-bit integers), round_trip (the ids decode to the text).
 
     Null text counts as empty, which has no tokens. The marker U+2581 in a text decodes to a space, so
     such a text doesn't make the round trip. Repeated rows and null ids are reported like others. An
@@ -249,7 +279,7 @@ def token_report(docs: DataFrame, model_file: str) -> DataFrame:
             for text in pdf["text"]:
                 text = text or ""
                 ids = t.encode(text)
-                rows.append((len(ids), int(is_byte[ids].sum()), hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(), t.decode(ids) == text))
+                rows.append((len(ids), int(is_byte[ids].sum()), hashlib.sha256(ids.tobytes()).hexdigest(), t.decode(ids) == text))
             out = pd.DataFrame(rows, columns=["n_tokens", "n_bytes", "ids_sha256", "round_trip"])
             out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
             yield out
