@@ -73,7 +73,7 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             continue
-        named = files.select("path", F.decode("content", F.lit("UTF-8")).alias("content"), F.lit(t.name).alias("entity_type"))
+        named = files.select("path", F.decode("content", "UTF-8").alias("content"), F.lit(t.name).alias("entity_type"))
         parts = named if parts is None else parts.unionByName(named)
     if parts is None:
         parts = spark.createDataFrame([], "path string, content string, entity_type string")
