@@ -1,6 +1,7 @@
 """Licence scans with a trained paragraph classifier.
 
-Texts are cut into lines and sentences; neighbouring pieces that talk of licences make a paragraph. A
+Paragraphs end at empty lines. Their wrapped lines are joined and cut into sentences; lines of a sentence
+count alone where they say something else, and sentences that say nothing alone are judged together. A
 multinomial logistic regression over hashed word n-grams (one to three words), trained here on the
 templates below, their variations and paragraphs that are no licence, gives a family and a probability;
 its temperature and the probability below which a paragraph is of unknown family are set on variations
@@ -12,9 +13,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -90,8 +93,11 @@ DIMS, CONFIRM = 1 << 14, 0.5
 FALSE_ACCEPT = 0.005
 UNKNOWN = "unknown"
 
-#: A piece with none of these has only n-grams of weight 0 and is no paragraph to classify.
+#: What isn't confirmed is listed as of unknown family if it has one of these; the classifier sees all the same.
 _ANCHOR = re.compile(r"(?i)licen[sc]e|\bspdx\b|\b[al]?gpl\b|under the terms of|released under|available under|\bbsd-|\bapache-2|\bmpl-|\bcc0\b|\bcc[ -]by\b|public domain|creative commons|hereby granted|redistribution and use|free software|copyright notice|copyright holder|waived all copyright|mozilla public|warranties or conditions")
+#: Each alternative of the anchor has one of these; the characters are those that match letters in other ways.
+_SIGNS = ("licen", "spdx", "gpl", "under the terms of", "released under", "available under", "bsd-", "apache-2", "mpl-", "cc0", "cc by", "cc-by", "public domain", "creative commons", "hereby granted", "redistribution and use", "free software", "copyright notice", "copyright holder", "waived all copyright", "mozilla public", "warranties or conditions")
+_FOLDED = re.compile("[\u0130\u0131\u017f\u212a]")
 _PIECE = re.compile(r"[^\n]+?(?:[.!?](?=\s)|(?=\n)|\Z)", re.S)
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
@@ -210,26 +216,119 @@ def _templates() -> dict[str, list[set[tuple[str, str]]]]:
     return {f: [_pairs(_words(t)) for t in ts] for f, ts in texts.items()}
 
 
-def scan_text(text: str | None, model: Classifier, templates: dict) -> list[tuple[str, int, int, float, float]]:
+def pairs_of(templates: dict[str, list[set[tuple[str, str]]]]) -> dict[tuple[str, str], list[tuple[int, int]]]:
+    """Number and size of the templates with each word pair."""
+    out: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    for i, t in enumerate(t for ts in templates.values() for t in ts):
+        for pair in t:
+            out.setdefault(pair, []).append((i, len(t)))
+    return out
+
+
+def _confirmable(words: list[str], known: dict[tuple[str, str], list[tuple[int, int]]]) -> bool:
+    """Whether any template, of whatever family, holds enough of the word pairs."""
+    if known.keys().isdisjoint(zip(words, words[1:], strict=False)):
+        return False
+    pairs = set(zip(words, words[1:], strict=False))
+    held = Counter(t for p in pairs & known.keys() for t in known[p])
+    return any(n / min(len(pairs), size) >= CONFIRM for (_, size), n in held.items())
+
+
+def _talks(text: str) -> bool:
+    """Whether ``text`` has an anchor; where lower case tells, plain searches rule it out first."""
+    if not _FOLDED.search(text):
+        low = text.lower()
+        if not any(x in low for x in _SIGNS):
+            return False
+    return _ANCHOR.search(text) is not None
+
+
+@dataclass
+class _Unit:
+    start: int
+    end: int
+    words: list[str]
+    family: str = UNKNOWN
+    p: float = 0.0
+    similar: float = 0.0
+
+    @property
+    def sure(self) -> bool:
+        return self.family != UNKNOWN
+
+
+def _similar(words: list[str], templates: list[set]) -> float:
+    pairs = _pairs(words)
+    return max((len(pairs & t) / min(len(pairs), len(t)) for t in templates), default=0.0)
+
+
+def _judge(start: int, end: int, words: list[str], model: Classifier, templates: dict, known: dict) -> _Unit:
+    """Where no template would confirm any family, the classifier's word changes nothing."""
+    unit = _Unit(start, end, words)
+    if _confirmable(words, known):
+        family, unit.p = model.predict(words)
+        if family != UNKNOWN:
+            unit.similar = _similar(words, templates[family])
+            unit.family = family if unit.similar >= CONFIRM else UNKNOWN
+    return unit
+
+
+def _sentence(lines: list[_Unit], judge, templates: dict) -> list[_Unit]:
+    """A sentence of several lines as one, but for lines that are notices of other families."""
+    if len(lines) == 1:
+        return lines
+    whole = judge(lines)
+    stand = [x.sure and (not whole.sure or x.family != whole.family and x.similar > _similar(x.words, templates[whole.family])) for x in lines]
+    if not any(stand):
+        return [whole] if whole.sure else lines
+    out: list[_Unit] = []
+    for alone, run in groupby(zip(stand, lines, strict=True), key=lambda x: x[0]):
+        part = [x for _, x in run]
+        out += part if alone else _sentence(part, judge, templates)
+    return out
+
+
+def scan_text(text: str | None, model: Classifier, templates: dict, known: dict | None = None) -> list[tuple[str, int, int, float, float]]:
     """(family, start, end, probability, similarity) of each licence paragraph; code points, end exclusive."""
-    if not text or not _ANCHOR.search(text):
+    if not text:
         return []
-    found: list[tuple[str, int, int, float, float]] = []
+    known = pairs_of(templates) if known is None else known
+
+    def judge(parts: list[_Unit]) -> _Unit:
+        return _judge(parts[0].start, parts[-1].end, [w for x in parts for w in x.words], model, templates, known)
+
+    paragraphs: list[list[list[_Unit]]] = []  # paragraphs of sentences of lines
+    at, ended = -1, True
     for m in _PIECE.finditer(text):
         piece = m[0]
-        if not _ANCHOR.search(piece):
-            continue
-        words = _words(piece)
-        family, p = model.predict(words)
-        pairs = _pairs(words)
-        similar = max((len(pairs & t) / min(len(pairs), len(t)) for t in templates[family]), default=0.0) if family != UNKNOWN else 0.0
-        if family != UNKNOWN and similar < CONFIRM:
-            family = UNKNOWN
         start = m.start() + len(piece) - len(piece.lstrip())
-        if found and found[-1][0] == family and not text[found[-1][2] : start].strip():
-            last = found.pop()
-            start, p, similar = last[1], max(p, last[3]), max(similar, last[4])
-        found.append((family, start, m.end(), p, similar))
+        if start == m.end():
+            continue
+        if at < 0 or text.count("\n", at, start) > 1:
+            paragraphs.append([])
+            ended = True
+        if ended:
+            paragraphs[-1].append([])
+        paragraphs[-1][-1].append(_judge(start, m.end(), _words(piece), model, templates, known))
+        at, ended = m.end(), piece[-1] in ".!?"
+    talks = _talks(text)
+    found: list[tuple[str, int, int, float, float]] = []
+    for paragraph in paragraphs:
+        units = [x for lines in paragraph for x in _sentence(lines, judge, templates)]
+        for sure, run in groupby(units, key=lambda x: x.sure):
+            part = list(run)
+            if not sure and len(part) > 1 and (whole := judge(part)).sure:
+                part = [whole]
+            for x in part:
+                if not x.sure and not (talks and _ANCHOR.search(text[x.start : x.end])):
+                    continue
+                if not x.sure and not x.p:
+                    x.p = model.predict(x.words)[1]
+                family, start, p, similar = x.family, x.start, x.p, x.similar
+                if found and found[-1][0] == family and not text[found[-1][2] : start].strip():
+                    last = found.pop()
+                    start, p, similar = last[1], max(p, last[3]), max(similar, last[4])
+                found.append((family, start, x.end, p, similar))
     return found
 
 
@@ -242,8 +341,9 @@ def scan(docs: DataFrame, text: str = "text", into: str = "licenses") -> DataFra
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, templates = sent.value
+        known = pairs_of(templates)
         for s in batches:
-            yield pd.Series([[dict(zip(("family", "start", "end", "probability", "similarity"), x, strict=True)) for x in scan_text(t, model, templates)] for t in s], dtype=object)
+            yield pd.Series([[dict(zip(("family", "start", "end", "probability", "similarity"), x, strict=True)) for x in scan_text(t, model, templates, known)] for t in s], dtype=object)
 
     return docs.withColumn(into, F.pandas_udf(run, SPANS)(F.col(text)))
 

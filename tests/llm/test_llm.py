@@ -454,6 +454,22 @@ def test_licenses(spark):
     assert licenses.license_report(docs(spark, [])).count() == 0
 
 
+def test_licenses_without_licence_words_and_over_lines():
+    model, templates = licenses.classifier(), licenses._templates()
+    scan = lambda text: [(f, text[a:b]) for f, a, b, _, _ in licenses.scan_text(text, model, templates)]
+    for line, family in {"Distributed under Apache 2.0.": "Apache-2.0", "Distributed under MIT.": "MIT", "Distributed under ISC.": "ISC"}.items():
+        assert scan(f"Some words before.\n{line} And words after.") == [(family, line)]
+    for family, notices in licenses.TEMPLATES.items():
+        for notice in (x for x in notices if len(x) > 100):
+            words = notice.split(" ")
+            for width in (3, 8):
+                wrapped = "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+                assert {f for f, _ in scan(f"A title\n\n{wrapped}\n\nOther words.")} - {"unknown"} == {family}, wrapped
+    long = licenses.TEMPLATES["MIT"][1].replace(", to deal", ",\nto deal").replace("to any", "to\nany")
+    assert scan(f"A title\n\n{long}.\n\nOther words.") == [("MIT", f"{long}.")]
+    assert scan("License: MIT\nDocs licensed under CC BY-SA 4.0\n") == [("MIT", "License: MIT"), ("CC-BY-SA", "Docs licensed under CC BY-SA 4.0")]
+
+
 def test_license_classifier_on_new_variations():
     m = licenses.classifier()
     held = licenses._variations(11, 1)
