@@ -1,7 +1,8 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read into text nodes with their root-to-leaf tag paths. Nodes that say themselves that they are
-no article (navigation, forms, adverts, scripts and so on, by element, role, class or id) leave first. For
+no article (navigation, forms, adverts, scripts and so on, by element, role, whole class or id) leave first,
+unless they hold the article themselves. For
 each path the mean text length and the mean punctuation of its nodes are its two ratios; both are smoothed
 along the page with a Gaussian, fused as a geometric mean and cut at a share of their spread. The nodes on
 the paths above the cut choose the content's container: from the root down to the deepest sectioning
@@ -45,6 +46,14 @@ MARKS = frozenset(
     "footer masthead topbar toolbar cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended "
     "comment comments commentlist reply replies respond disqus widget pagination pager skip hidden".split()
 )
+#: Marks of what readers write, which may be longer than the article.
+COMMENTS = frozenset("comment comments commentlist reply replies respond disqus".split())
+#: Words that make known compounds with marks, as in share-buttons; any other word makes another sense, as in related-work.
+PARTS = frozenset(
+    "area bar block bottom box button buttons column container desktop footer form global group header holder icon icons inline inner item items label left link links list main media mobile "
+    "outer panel post posts articles stories primary right secondary section site slot sticky tab tabs text title toggle top trail unit wrap wrapper x".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are the page's text whatever their attributes say.
 NEVER_APART = frozenset("html body article main".split())
 
@@ -63,11 +72,25 @@ def _apart(name: str, attrs: str, inside: bool) -> bool:
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if key == "role" and value in ROLES or key in ("class", "id") and not MARKS.isdisjoint(re.split(r"[^a-z]+", value)):
+        if key == "role" and value in ROLES:
             return True
     return False
 
 
+def _marks(name: str, attrs: str) -> set[str]:
+    """Marks among the whole classes and ids. The id of a heading is a place in the article."""
+    out: set[str] = set()
+    if not attrs or name in NEVER_APART:
+        return out
+    for key, a, b, c in _ATTR.findall(attrs):
+        if (key := key.lower()) == "class" or key == "id" and name not in HEADINGS:
+            for token in (a or b or c).lower().split():
+                words = {w for w in re.split(r"[^a-z]+", token) if w}
+                if words <= MARKS | PARTS:
+                    out |= words & MARKS
+    return out
+
+
 class Page:
     """Text nodes of a page in order: text, owner (element), path; -1 as owner: a block ends here."""
 
@@ -77,6 +100,7 @@ class Page:
         self.owners: list[int] = []
         self.paths: list[str] = []
         self.links: list[bool] = []
+        self.marks: dict[int, set[str]] = {}
         stack: list[tuple[str, int, str, bool]] = [("html", 0, "html", False)]  # name, element, path, apart
         inside, at, n = 0, 0, len(source)
         while at < n:
@@ -130,7 +154,51 @@ class Page:
             self.names.append(name)
             self.parents.append(parent[1])
             stack.append((name, len(self.names) - 1, f"{parent[2]}/{name}", parent[3] or _apart(name, attrs, inside > 0)))
+            if marks := _marks(name, attrs):
+                self.marks[len(self.names) - 1] = marks
             inside += name in ARTICLE
+        self._leave()
+
+    def _leave(self) -> None:
+        """Marked elements leave, but for those that hold the page's article or most of its text."""
+        if not self.marks:
+            return
+        size = self._total([len(t.strip()) for t in self.texts])
+        under = self._under(self.marks)
+        articles = [e for e, name in enumerate(self.names) if name in ARTICLE and size[e]]
+        if not any(not under[e] for e in articles):
+            held = set()
+            for e in articles:
+                while e >= 0 and e not in held:
+                    held.add(e)
+                    e = self.parents[e]
+            most = {e for e, marks in self.marks.items() if 2 * size[e] > size[0] and not marks & COMMENTS}
+            self.marks = {e: marks for e, marks in self.marks.items() if e not in held and e not in most}
+        else:
+            largest = max(articles, key=lambda e: size[e])
+            while 2 * size[largest] > size[0] and largest >= 0:
+                self.marks.pop(largest, None)
+                largest = self.parents[largest]
+        under = self._under(self.marks)
+        keep = [o < 0 or not under[o] for o in self.owners]
+        self.texts, self.owners, self.paths, self.links = ([x for x, k in zip(xs, keep, strict=True) if k] for xs in (self.texts, self.owners, self.paths, self.links))
+
+    def _under(self, tops) -> np.ndarray:
+        """Whether each element is one of ``tops`` or in one."""
+        out = np.zeros(len(self.names), bool)
+        for e in range(len(self.names)):  # parents come before children
+            out[e] = e in tops or e > 0 and out[self.parents[e]]
+        return out
+
+    def _total(self, sizes: list[float]) -> np.ndarray:
+        """For each element the sum over its text nodes."""
+        out = np.zeros(len(self.names))
+        for o, x in zip(self.owners, sizes, strict=True):
+            if o >= 0:
+                out[o] += x
+        for e in range(len(self.names) - 1, 0, -1):
+            out[self.parents[e]] += out[e]
+        return out
 
     def article(self) -> str:
         kept = [i for i, o in enumerate(self.owners) if o >= 0 and not self.texts[i].isspace()]

@@ -147,6 +147,18 @@ def test_main_text(spark):
     assert html_extract.main_text(df.where("false")).count() == 0
 
 
+def test_main_text_of_marked_wrappers():
+    text = "Long text, with marks; and more. And more text, more."
+    for outer in ("content no-sidebar", "has-banner", "layout-with-comments", "page hide-menu", "banner", "content-sidebar", "widget"):
+        assert html_extract.extract(f'<div class="{outer}"><article><p>{text}</p></article></div>') == text
+        assert html_extract.extract(f'<div class="{outer}"><p>{text}</p><p>{text}</p></div>') == f"{text} {text}"
+    for part in ('<section id="related-work"><p>{}</p></section>', '<h2 id="social-context">{}</h2>', '<h2 id="baking-cookies">{}</h2>', '<h2 id="cookies">{}</h2>'):
+        assert html_extract.extract(f"<article><p>{text}</p>{part.format(text)}</article>") == f"{text} {text}"
+    for junk in ('class="share-buttons"', 'id="comments"', 'class="box related-posts"', 'class="ad-300x250"', 'class="site-footer"'):
+        assert html_extract.extract(f"<article><p>{text}</p></article><div {junk}><article>{text}</article></div>") == text
+        assert html_extract.extract(f"<article><p>{text}</p><div {junk}>{text}</div></article>") == text
+
+
 def test_main_text_of_the_table(spark):
     """The table's articles are in <article>; a cut with plain tools gives the same text."""
     import html
