@@ -6,7 +6,8 @@ unless they hold the article themselves. For
 each path the mean text length and the mean punctuation of its nodes are its two ratios; both are smoothed
 along the page with a Gaussian, fused as a geometric mean and cut at a share of their spread. The nodes on
 the paths above the cut choose the content's container: from the root down to the deepest sectioning
-element that still holds nearly all of them. The result is all remaining text of the container.
+element that still holds nearly all of them. The result is all remaining text of the container, and of the
+blocks outside it that are selected for the most part; selected nodes elsewhere are added alone.
 """
 
 from __future__ import annotations
@@ -227,12 +228,33 @@ class Page:
             if not down:
                 break
             box = max(down, key=lambda e: mass[e])
-        within = np.zeros(len(self.names), bool)
-        within[box] = True
-        for e in range(box + 1, len(self.names)):
-            within[e] = within[self.parents[e]]
-        weak = {names[k] for k in range(len(names)) if not chosen[k]} if self.names[box] not in ARTICLE else set()
-        out = [t for t, o, p, a in zip(self.texts, self.owners, self.paths, self.links, strict=True) if o < 0 or within[o] and not (a and p in weak)]
+        within = self._under({box})
+        selected, size = [0.0] * len(self.texts), [0.0] * len(self.texts)
+        for i, x, path in zip(kept, length, which, strict=True):
+            size[i], selected[i] = x, x * chosen[path]
+        # Selected nodes outside the container belong to the result, with their blocks.
+        outside = [i for i in kept if selected[i] and not within[self.owners[i]]]
+        beside, alone = within, set(outside)
+        if outside:
+            around = {box}
+            e = box
+            while e > 0:
+                around.add(e := self.parents[e])
+            total, taken = self._total(size), self._total(selected)
+            tops = set()
+            for i in outside:
+                top, e = None, self.owners[i]
+                while e not in around and 2 * taken[e] >= total[e]:
+                    top, e = e, self.parents[e]
+                if top is not None:
+                    tops.add(top)
+            beside = within | self._under(tops)
+        weak = {names[k] for k in range(len(names)) if not chosen[k]}
+        pure = self.names[box] in ARTICLE
+        out = [
+            t for i, (t, o, p, a) in enumerate(zip(self.texts, self.owners, self.paths, self.links, strict=True))
+            if o < 0 or i in alone or beside[o] and not (a and p in weak and not (pure and within[o]))
+        ]
         return " ".join(entities.unescape("".join(out)).split())
 
 

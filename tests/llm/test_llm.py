@@ -159,6 +159,16 @@ def test_main_text_of_marked_wrappers():
         assert html_extract.extract(f"<article><p>{text}</p><div {junk}>{text}</div></article>") == text
 
 
+def test_main_text_outside_of_the_container():
+    p = "A paragraph, with marks; and more. And more text, more. It goes on, and on, to a hundred characters."
+    ten = "<p>{}</p>".format(p) * 10
+    body = " ".join([p] * 10)
+    assert html_extract.extract(f"<body><h1>Title</h1><p>Lead, {p}</p><div>{ten}</div></body>") == f"Title Lead, {p} {body}"
+    assert html_extract.extract(f"<div>{ten}</div><div><p>Last, {p}</p></div>") == f"{body} Last, {p}"
+    assert html_extract.extract(f"<article>{ten}</article><article><p>Last, <b>not</b> {p}</p></article>") == f"{body} Last, not {p}"
+    assert html_extract.extract(f"<div>{ten}</div><div><a>x</a> <a>y</a></div>") == body
+
+
 def test_main_text_of_the_table(spark):
     """The table's articles are in <article>; a cut with plain tools gives the same text."""
     import html
