@@ -5,7 +5,8 @@ from the pieces between matches: ``split`` on the same pattern gives one piece m
 
 Patterns are written with possessive quantifiers and look-behinds. They match what the plain forms in
 the comments match, without the plain forms' recursion and without a new scan of a long run from each
-of its characters.
+of its characters. Account numbers are the exception: they have their country's length, and a match takes
+in their first two letters only, so that neither what follows nor another candidate before is in the way.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Kind:
     """``plain``: the pattern as SQL engines without look-behind can run it. ``gate``: a text without
-    this character can't match. ``context``: words that make a span likelier, within ``NEAR``."""
+    this character can't match. ``context``: words that make a span likelier, within ``NEAR``. ``takes``:
+    if given, the span is the pattern's first group, and the match itself has so many characters."""
 
     name: str
     pattern: str
@@ -27,6 +29,7 @@ class Kind:
     gate: str | None
     context: str
     base: bool = True
+    takes: int | None = None
 
 
 #: Code points on either side of a span that are searched for context words.
@@ -36,13 +39,22 @@ SURE, OPEN, NEARBY = 60, 40, 35
 #: Kinds that the method adds need so much.
 NEEDED = 60
 
+# Length of account numbers by country. Where a country isn't listed any length may do.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_FIXED = [f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, names in IBAN_LENGTHS.items()]
+_OTHER = rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9])"
+_IBAN = rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=({'|'.join([*_FIXED, _OTHER])}))[A-Z]{{2}}"
+
 # Kinds in the order in which spans are listed.
 KINDS = (
     Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@", "mail|contact|write|kontakt|correo|courriel"),
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", ".", "ip|server|host|address|login"),
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])", r"[0-9](?:[\x20-]?[0-9])+", None, "card|credit|visa|master|amex|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", "+", "phone|tel|call|mobile|fax|anruf|llame"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", None, "iban|bank|account|konto|compte|cuenta", base=False),
+    Kind("iban", _IBAN, r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", None, "iban|bank|account|konto|compte|cuenta", base=False, takes=2),
     Kind("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "-", "ssn|social|security|tax", base=False),
 )
 
@@ -80,7 +92,7 @@ def _confirmed(kind: str, match: Column) -> Column:
 
 def _spans(text: Column, k: Kind) -> Column:
     """array<struct<kind, start, end, score>> of the confirmed spans of one kind, in order."""
-    matches = F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))
+    matches = F.regexp_extract_all(text, F.lit(k.pattern), F.lit(1 if k.takes else 0))
     gaps = F.split(text, k.pattern, -1)
     # The last gap has no match and ends as a span without text, which the filter below drops.
     pairs = F.zip_with(matches, gaps, lambda m, g: F.struct(F.length(g).alias("gap"), m.alias("m")))
@@ -88,7 +100,7 @@ def _spans(text: Column, k: Kind) -> Column:
     placed = F.aggregate(
         pairs, F.struct(F.lit(0).alias("at"), none.alias("out")),
         lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.length(x["m"])).alias("at"),
+            (a["at"] + x["gap"] + (F.lit(k.takes) if k.takes else F.length(x["m"]))).alias("at"),
             F.array_append(a["out"], F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + F.length(x["m"])).alias("stop"), x["m"].alias("m"))).alias("out"),
         ),
         lambda a: a["out"],

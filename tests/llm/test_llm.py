@@ -286,6 +286,18 @@ def test_pii_added(spark):
     assert got[2] == []
 
 
+def test_pii_accounts_in_their_surroundings(spark):
+    de, gb = "DE89370400440532013000", "GB82WEST12345698765432"
+    spaced = "DE89 3704 0044 0532 0130 00"
+    cases = {
+        f"IBAN {de} BIC COBADEFFXXX": [de], f"Pay to {spaced} Thanks": [spaced], f"{gb} OK": [gb], f"{de} 2024": [de], f"{de}": [de], f"é {spaced} 2024 {gb} AND": [spaced, gb],
+        f"BE12 {spaced}": [spaced], f"AB12 {de}": [de], f"{de} {gb}": [de, gb], f"NO93 8601 1117 947 {de}.": ["NO93 8601 1117 947", de], f"{de}X": [], f"X{de}": [], "DE89370400440532013001": [],
+    }
+    data = [(i, t, "s") for i, t in enumerate(cases)]
+    got = {r["doc_id"]: [data[r["doc_id"]][1][x["start"] : x["end"]] for x in r["pii"] if x["kind"] == "iban"] for r in pii.find_pii(docs(spark, data, clash=False)).collect()}
+    assert got == {i: found for i, found in enumerate(cases.values())}
+
+
 # --- 6 -------------------------------------------------------------------------------------------------
 
 
