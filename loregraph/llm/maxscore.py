@@ -11,11 +11,12 @@ work alone on blocks of queries, and their lists of k are merged.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._util import shards
@@ -27,11 +28,17 @@ PROBE = 8
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
-    """vec_id, v: floor(64 * x) of each component as long, of vectors whose components are all finite."""
+    """vec_id, v: floor(64 * x) of each component as long, of vectors whose components are all finite. A
+    finite component that doesn't fit a long ends the run."""
     x = F.col("embedding")
-    whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < 1e15))
+    whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < math.inf))
+
+    def floor(c: Column) -> Column:
+        wide = c.cast("double") * 64
+        return F.when((wide >= -(2.0**63)) & (wide < 2.0**63), F.floor(wide).cast("long")).otherwise(F.raise_error(F.lit("op4_maxscore: 64 times a component doesn't fit a long")).cast("long"))
+
     return vectors.where(x.isNotNull() & whole & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c.cast("double") * 64).cast("long")).alias("v")
+        F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, floor).alias("v")
     ).dropDuplicates(["vec_id", "v"])
 
 
@@ -59,8 +66,8 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
     are exact: products of float64 integers below 2**53, else of Python's integers."""
     if not len(ids) or not len(query_ids):
         return []
-    bound_v = np.abs(vectors).max(axis=0, initial=0).astype(object)
-    bound_q = np.abs(queries).max(axis=0, initial=0).astype(object)
+    largest = lambda m: np.maximum(m.max(axis=0, initial=0).astype(object), -m.min(axis=0, initial=0).astype(object))
+    bound_v, bound_q = largest(vectors), largest(queries)
     kind = np.float64 if int((bound_v * bound_q).sum()) < 1 << 53 else object
     v, q = vectors.astype(kind), queries.astype(kind)
     # Bounds of each query's terms over this shard.

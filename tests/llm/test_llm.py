@@ -234,6 +234,18 @@ def test_maxscore_odd(spark):
     assert maxscore.top_k(df.where("false")).count() == 0
 
 
+def test_maxscore_large_components(spark):
+    data = [(20, [1e15, 1.0]), (1, [1.0, 0.0]), (2, [2e16, 0.0]), (3, [-1e15, 5.0]), (40, [-(2.0**57), 0.0])]
+    make = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    small = [data[0], data[1], (4, [0.0, 1.0])]
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in small}
+    dot = lambda i: sum(x * y for x, y in zip(whole[20], whole[i], strict=True))
+    assert sorted(map(tuple, maxscore.top_k(make(small)).collect())) == [(20, 1, 1, dot(1)), (20, 2, 4, dot(4))]
+    assert {r["vec_id"] for r in maxscore.quantized(make(data)).collect()} == {20, 1, 2, 3, 40}
+    with pytest.raises(Exception, match="doesn't fit a long"):
+        maxscore.quantized(make([(1, [2.0**57])])).collect()
+
+
 # --- 5 -------------------------------------------------------------------------------------------------
 
 
