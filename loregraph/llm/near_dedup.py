@@ -25,12 +25,11 @@ from loregraph.operators.graph import components
 
 from ._util import table
 
-#: Registers in a band. Bands are as many as leave a pair at the threshold out once in 1 / MISS cases.
+#: Registers in a band. Bands and the cut on estimates together leave a pair at the threshold out once in
+#: 1 / MISS cases at most.
 ROWS, MISS = 5, 1e-7
 #: Mantissa bits of a register, beside six bits of leading zeros.
 MANTISSA = 10
-#: Standard deviations below the threshold at which an estimate still goes to verification.
-SIGMAS = 4.5
 #: Buckets up to this size propose all their pairs; tiles of larger ones hold about so many documents and
 #: shingles at most.
 SMALL, TILE, TILE_MASS = 8, 1024, 1_500_000
@@ -121,8 +120,16 @@ def estimate(equal: np.ndarray, total: int, n: np.ndarray, m: np.ndarray) -> np.
 
 
 def _least(percent: int, total: int) -> float:
+    """The estimate from which pairs go to verification: the exact binomial tail below it is what the bands
+    leave of MISS."""
     t = percent / 100
-    return t - SIGMAS * math.sqrt(t * (1 - t) / total)
+    left = MISS - (1 - t**ROWS) ** (total // ROWS)
+    exactly = lambda x: math.exp(math.lgamma(total + 1) - math.lgamma(x + 1) - math.lgamma(total - x + 1) + x * math.log(t) + (total - x) * math.log(1 - t))
+    x, tail = 0, 0.0
+    while (tail := tail + exactly(x)) <= left:
+        x += 1
+    most = float(chance(np.ones(1), np.ones(1))[0])  # registers that agree by chance lower no estimate further
+    return (x / total - most) / (1 - most) - 1e-12
 
 
 def sketch(docs: DataFrame, k: int, percent: int) -> DataFrame:

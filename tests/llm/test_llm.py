@@ -112,6 +112,19 @@ def test_near_duplicates_odd(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted([(False, 0), (False, 1), (False, 2), (True, 0), (False, 5), (False, 6), (False, 8)])
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_estimates_lose_no_more_than_stated(percent):
+    """A pair at the threshold, by the exact binomial tail, through bands and the cut on estimates."""
+    total, t = near_dedup.bands_for(percent) * near_dedup.ROWS, percent / 100
+    least = near_dedup._least(percent, total)
+    for n, m in ((1000, 1000), (1000, 850)):
+        c = float(near_dedup.chance(np.array([n]), np.array([m]))[0])
+        p = t + (1 - t) * c
+        passes = near_dedup.estimate(np.arange(total + 1), total, np.array([n]), np.array([m])) >= least
+        lost = sum(math.comb(total, x) * p**x * (1 - p) ** (total - x) for x in range(total + 1) if not passes[x])
+        assert 0 < lost + (1 - t**near_dedup.ROWS) ** (total // near_dedup.ROWS) <= near_dedup.MISS
+
+
 def test_sketch_estimate():
     rng = np.random.default_rng(4)
     for j in (0.2, 0.5, 0.85):
