@@ -140,7 +140,8 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
 
     ``docs``: doc_id, text; other columns are ignored, whatever their names. ``history``: digest (32
     bytes), locator, of distinct texts seen before; without it the documents up to the middle of the
-    range of doc_id are the history of the whole table. Returns one row per row of ``docs``: doc_id,
+    range of doc_id are the history of the whole table. A text in the history keeps the locator that the
+    lookup gives; only other texts take the smallest doc_id of their own. Returns one row per row of ``docs``: doc_id,
     keep_id, group_size, kept, text_sha256.
 
     Null text equals the empty text. A null doc_id is never the smallest; rows with one are kept only
@@ -151,15 +152,17 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     seen = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).first()
     if history is None:
         middle = (seen["low"] + seen["high"]) // 2 if seen["low"] is not None else 0
+        later = F.when(F.col("doc_id") > middle, F.col("doc_id"))  # the others' texts are members
         history = rows.where(F.col("doc_id") <= middle).groupBy("digest").agg(F.min("doc_id").alias("locator"))
         count = shards(seen["n"], SHARD_ROWS)
     else:
+        later = F.col("doc_id")
         count = shards(max(seen["n"], history.count()), SHARD_ROWS)
         history = history.groupBy("digest").agg(F.min("locator").alias("locator"))
     index = checkpoint(build_index(history, count))
     # One row a distinct digest is looked up: a text with a third of all rows was folded on the map side.
-    distinct = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
-    groups = lookup(distinct, index, count).select(F.col("digest").alias("of"), F.least("locator", "first_id").alias("keep_id"), F.col("n").alias("group_size"))
+    distinct = rows.groupBy("digest").agg(F.min(later).alias("first_id"), F.count("*").alias("n"))
+    groups = lookup(distinct, index, count).select(F.col("digest").alias("of"), F.coalesce("locator", "first_id").alias("keep_id"), F.col("n").alias("group_size"))
     # The hot digest is on the side that adaptive execution splits; the other has one row a digest.
     return rows.join(groups, F.col("digest") == F.col("of")).select(
         "doc_id", "keep_id", "group_size",

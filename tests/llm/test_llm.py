@@ -228,6 +228,16 @@ def test_exact_dedup_with_history(spark):
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in got.collect()} == {(1, -5, False), (2, 2, True), (3, 2, False)}
 
 
+def test_exact_dedup_by_lookup(spark, monkeypatch):
+    data = docs(spark, [(1, "a", "s"), (2, "b", "s"), (9, "a", "s"), (10, "c", "s"), (8, "c", "s")])
+    keep = lambda seen=None: {r["doc_id"]: r["keep_id"] for r in exact_dedup.exact_dedup(data, seen).collect()}
+    assert keep() == {1: 1, 2: 2, 9: 1, 10: 8, 8: 8}
+    seen = data.where("doc_id = 1").select(exact_dedup.digest(F.col("text")).alias("digest"), F.lit(100).cast("long").alias("locator"))
+    assert keep(seen) == {1: 100, 2: 2, 9: 100, 10: 8, 8: 8}
+    monkeypatch.setattr(exact_dedup, "lookup", lambda distinct, index, count: distinct.withColumn("locator", F.lit(None).cast("long")))
+    assert keep() == {1: 9, 2: None, 9: 9, 10: 8, 8: 8}  # without the index members have no winner
+
+
 # --- 4 -------------------------------------------------------------------------------------------------
 
 
