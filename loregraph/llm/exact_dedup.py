@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import WS, checkpoint, shards
+from ._util import WS, checkpoint, picked, shards, table
 
 #: Bits a key at each level of the cascade; 2 ends it after some ten levels.
 GAMMA = 2.0
@@ -172,9 +172,17 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of each text, with all their columns."""
-    found = exact_dedup(docs).where("not kept").select(F.col("doc_id").alias("_copy"))
-    return docs.join(found, docs["doc_id"] == F.col("_copy"), "left_anti")
+    """One row of each text with all its columns: the row with the smallest doc_id. ``docs``: doc_id, text,
+    and any columns of any names.
+
+    Rows are told apart by doc_id and text, not by doc_id alone, so a doc_id that repeats with different
+    texts loses none of them. A null doc_id comes after all others; of rows with equal text and doc_id
+    (repeated rows, or null ids) the least as JSON stays. Null text equals the empty text. An empty table
+    gives an empty result.
+    """
+    kept = exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
+    wanted = table(kept.select(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("key"), "n"))
+    return picked(docs, digest(F.col("text")), wanted)
 
 
 SQL = r"""

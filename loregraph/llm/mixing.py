@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import checkpoint, words
+from ._util import checkpoint, named, ranked, table, text_key, words
 
 #: Fixed-point unit of a rate.
 UNIT = 1 << 20
@@ -90,53 +90,73 @@ def solve(sizes: DataFrame, goals: DataFrame, cap: int = 3) -> DataFrame:
     return state
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
-    """How often a mix takes each document.
-
-    ``docs``: doc_id, text, source; other columns are ignored. Returns one row per row of ``docs``:
-    doc_id, size (words), source_size, target (words of its source), taken (words, repeats counted),
-    copies (0 to ``cap``).
-
-    Null or empty text has size 0 and takes no words. Null source is a source of its own, the last.
-    Null doc_id and repeated rows are documents like others. An empty table gives an empty result.
-    Sources of size 0 get target 0. Reruns agree.
-    """
+def _plan(docs: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
+    """doc_id, key, text_key, size, source_size, target, copies: one row per row of ``docs``."""
     spark = docs.sparkSession
-    base = checkpoint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(F.col("source")).alias("key"), words(F.col("text")).alias("size")))
+    base = checkpoint(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(F.col("source")).alias("key"), text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("size"))
+        # Rows that agree in all this may come in any order; the last number keeps them from one range.
+        .withColumn("tie", F.monotonically_increasing_id())
+    )
     sizes = checkpoint(base.groupBy("key", "size").agg(F.count("*").alias("n")))
     goals = targets(sizes.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, cap)
     state = solve(sizes.where("size > 0"), checkpoint(goals), cap)
 
     rates = state.select(F.col("key").alias("of"), "source_size", "target", "mean", "full", "lam")
     rated = base.join(rates, F.col("key") == F.col("of")).select(
-        "doc_id", "key", "size", "source_size", "target",
-        F.floor(_rate(cap) * UNIT).cast("long").alias("units"), F.xxhash64("doc_id").alias("h"),
+        "doc_id", "key", "text_key", "size", "source_size", "target", "tie",
+        F.floor(_rate(cap) * UNIT).cast("long").alias("units"), F.xxhash64("doc_id", "text_key").alias("h"),
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["key", "size", "h", "doc_id"]
-    dealt = checkpoint(rated.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
+    order = ["size", "h", "doc_id", "text_key", "tie"]
+    dealt = checkpoint(rated.repartitionByRange(parts, "key", *order).withColumn("part", F.spark_partition_id()))
     # Cumulative rates: a sum for each part and source, their prefix, and a running sum within.
     sums = dealt.groupBy("part", "key").agg(F.sum("units").alias("s"))
     earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("part").alias("p"), F.col("key").alias("k"), F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("start"))
-    so_far = Window.partitionBy("part", "key").orderBy("size", "h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("part", "key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("start") + F.col("inner")
     placed = checkpoint(
         dealt.join(starts, (F.col("part") == F.col("p")) & (F.col("key") == F.col("k")))
         .withColumn("inner", F.sum("units").over(so_far))
-        .select("doc_id", "key", "size", "source_size", "target", "units", upto.alias("upto"))
+        .select("doc_id", "key", "text_key", "size", "source_size", "target", "units", upto.alias("upto"))
     )
     # Rounding may start anywhere in a unit: each source takes the start that meets its target best.
     copies = lambda at: F.shiftright(F.col("upto") + at, 20) - F.shiftright(F.col("upto") - F.col("units") + at, 20)
     missed = F.array(*[F.abs(F.sum(F.col("size") * copies(F.lit(j * (UNIT // STARTS)))) - F.first("target")) for j in range(STARTS)])
     best = placed.groupBy(F.col("key").alias("of")).agg(missed.alias("missed")).select("of", ((F.array_position("missed", F.array_min("missed")) - 1) * (UNIT // STARTS)).alias("at"))
-    return placed.join(best, F.col("key") == F.col("of")).withColumn("copies", copies(F.col("at")).cast("int")).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies"
-    )
+    return placed.join(best, F.col("key") == F.col("of")).select("doc_id", "key", "text_key", "size", "source_size", "target", copies(F.col("at")).cast("int").alias("copies"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
+    """How often a mix takes each document.
+
+    ``docs``: doc_id, text, source; other columns are ignored. Returns one row per row of ``docs``:
+    doc_id, size (words), source_size, target (words of its source), taken (words, repeats counted),
+    copies (0 to ``cap``).
+
+    Null or empty text has size 0 and takes no words. Null source is a source of its own, the last.
+    Null doc_id and repeated rows are documents like others. An empty table gives an empty result.
+    Sources of size 0 get target 0. Reruns agree.
+    """
+    return _plan(docs, weights, cap).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
-    """The documents of the mix: each as often as it is taken, with all its columns."""
-    plan = mix(docs, weights, cap).groupBy("doc_id").agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_id")
-    out = docs.join(plan, docs["doc_id"].eqNullSafe(F.col("_id"))).where("_copies > 0")
-    return out.withColumn("_n", F.explode(F.expr("sequence(1, _copies)"))).select(*[docs[c] for c in docs.columns])
+    """The documents of the mix: each row as often as it is taken, with all its columns, whatever their
+    names. ``docs`` and odd rows: as for ``mix``.
+
+    A row takes the copies planned for its doc_id, source and text. Rows that agree in all three (repeated
+    rows, null ids) share the copies of all of them evenly, so targets hold for them too; which of them has
+    one more depends on how the table is split, if they differ in other columns.
+    """
+    rows_of = _plan(docs, weights, cap).groupBy("doc_id", "key", "text_key").agg(F.sum("copies").alias("all"), F.count("*").alias("n"))
+    plan = table(rows_of.where("all > 0").select(F.col("doc_id").alias("p_id"), F.col("key").alias("p_source"), F.col("text_key").alias("p_key"), "all", "n"))
+    rows = named(docs, text_key(F.col("text"))).withColumn("source", _key(F.col("row")["source"]))
+    same = F.col("id").eqNullSafe(F.col("p_id")) & (F.col("source") == F.col("p_source")) & (F.col("key") == F.col("p_key"))
+    out = rows.join(plan.where("n = 1"), same).select("row", F.col("all").alias("copies"))
+    if plan.where("n > 1").limit(1).count():
+        many = ranked(rows.join(plan.where("n > 1"), same).select("row", "id", "source", "key", "all", "n"), ["id", "source", "key"], [F.to_json("row")])
+        share = F.floor(F.col("all") / F.col("n")) + F.when(F.col("rank") < F.col("all") % F.col("n"), 1).otherwise(0)
+        out = out.union(many.select("row", share.alias("copies")).where("copies > 0"))
+    return out.select("row", F.explode(F.expr("sequence(1, cast(copies as int))")).alias("copy")).select("row.*")

@@ -265,6 +265,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``REJECT``, with all their columns."""
+    """The rows of ``docs`` (doc_id, text, and any columns of any names) whose score is below ``REJECT``,
+    with all their columns. Each row is judged by its own text, so null and repeated doc_ids make no
+    difference; null and empty texts get the score of a text without entries. An empty table gives an empty
+    result."""
     model = fit(docs, labels, sample)
-    return score_texts(docs, model, "_score").where(F.col("_score") < REJECT).select(*[docs[c] for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
+    return score_texts(rows, model).where(F.col("score") < REJECT).select("row.*")
