@@ -18,7 +18,7 @@ from loregraph.llm import exact_dedup, html_extract, licenses, maxscore, mixing,
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Columns with the names that operators use inside.
-CLASH = ("digest", "of", "key", "v", "n", "rep", "set_key", "root", "part", "units", "h", "score", "pii", "ids", "sha1", "last", "shard", "copies", "lang")
+CLASH = ("digest", "of", "key", "v", "n", "rep", "set_key", "root", "part", "units", "h", "score", "pii", "ids", "sha1", "last", "shard", "copies", "lang", "_copy", "_score", "_copies", "_id", "row", "id", "rank", "all", "stays", "text_key", "in_part")
 
 
 def docs(spark, data, clash=True):
@@ -105,11 +105,48 @@ def test_near_duplicates_of_a_large_group(spark):
 def test_near_duplicates_odd(spark):
     got = near_dedup.near_duplicates(docs(spark, ODD), 3, 85).collect()
     assert len(got) == len(ODD)
-    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {(0, 0, True), (1, 1, True), (2, 2, True), (3, 0, False), (None, None, True), (5, 5, True), (6, 6, True), (7, 0, False), (8, 8, True)}
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {(0, 0, True), (1, 1, True), (2, 2, True), (3, 0, False), (None, 0, False), (5, 5, True), (6, 6, True), (7, 0, False), (8, 8, True)}
     assert near_dedup.near_duplicates(docs(spark, []), 3, 85).count() == 0
     kept = near_dedup.drop_near_copies(docs(spark, ODD), 3, 85)
     assert "digest" in kept.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted([(False, 0), (False, 1), (False, 2), (True, 0), (False, 5), (False, 6), (False, 8)])
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted([(False, 0), (False, 1), (False, 2), (False, 5), (False, 6), (False, 8)])
+    assert near_dedup.drop_near_copies(docs(spark, []), 3, 85).count() == 0
+
+
+#: doc_ids that repeat with different texts, and rows without one.
+REPEATED = [(3, "b c d e f", "s"), (5, "a x y z", "s"), (5, "b c d e f", "s"), (None, "q r s t", "s"), (None, "q r s t", "s"), (9, "a x y z", "t"), (9, "own text of nine", "t"), (None, None, "s"), (None, "", "t")]
+
+
+def test_rows_are_told_apart_by_more_than_ids(spark):
+    """No text is lost, and each stays once, under the least doc_id."""
+    texts = lambda df: sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in df.collect()), key=repr)
+    stay = [(False, 3, "b c d e f"), (False, 5, "a x y z"), (False, 9, "own text of nine"), (True, 0, "q r s t")]
+    for order in (REPEATED, REPEATED[::-1]):
+        got = exact_dedup.drop_copies(docs(spark, order))
+        assert [x for x in texts(got) if x[2]] == stay
+        assert got.count() == len(stay) + 1
+        got = near_dedup.drop_near_copies(docs(spark, order), 3, 85)
+        assert [x for x in texts(got) if x[2]] == stay
+        assert got.count() == len(stay) + 2  # texts without words are linked with nothing
+        assert got.columns == docs(spark, order).columns
+    near = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs(spark, REPEATED), 3, 85).collect()}
+    assert {(5, 2, 5, True), (5, 3, 3, False), (None, 2, None, True), (9, 2, 5, False), (9, 2, 9, True)} <= near
+
+
+def test_mixing_of_repeated_rows(spark):
+    rng = random.Random(4)
+    data = [(rng.choice([None, 1, 2, i]), "w " * rng.choice([1, 5, i % 7]), rng.choice(["a", "b", None])) for i in range(300)] + [(None, "one two", "b")] * 50
+    plan = mixing.mix(docs(spark, data)).collect()
+    many = mixing.mixed(docs(spark, data)).collect()
+    taken, got = defaultdict(int), defaultdict(int)
+    for r in plan:
+        taken[r["doc_id"], r["size"]] += r["taken"]
+    for r in many:
+        got[r["doc_id"], len(r["text"].split())] += len(r["text"].split())
+    assert {k: x for k, x in got.items() if x} == {k: x for k, x in taken.items() if x}
+    assert len(many) == sum(r["copies"] for r in plan)
+    assert mixing.mixed(docs(spark, [])).count() == 0
+    assert mixing.mixed(docs(spark, data)).columns == docs(spark, data).columns
 
 
 @pytest.mark.parametrize("percent", [80, 85])
