@@ -1,18 +1,22 @@
 """Exact top-k search by MaxScore over integer vectors.
 
 A dimension with a sign is a term: the postings of (t, +) are the vectors whose component t is positive,
-those of (t, -) where it is negative. A query meets of each dimension only the term that adds to its
-score; what the other sign adds is at most 0. So a query's terms have upper bounds, and while the bounds
-of the least terms sum to less than the query's k-th score so far, these terms are non-essential: a vector
-in no essential posting can't enter the result. Vectors of essential postings are scored on the essential
-terms and the others are probed, in falling bound, only while they could still enter. Shards of vectors
-work alone on blocks of queries, and their lists of k are merged.
+those of (t, -) where it is negative. Of each dimension one term of a query adds to a score, at most the
+query's component times the largest of the term's postings; the other term takes away, so its bound is 0.
+
+A shard of vectors holds its postings by term, in order of vec_id. A query goes through them in steps of
+rising vec_id. Its terms in rising order of bound are non-essential as long as their bounds sum to no more
+than its k-th score so far: a vector in none of the other, essential postings can't enter the result. The
+essential postings of a step are traversed and their products summed by vector; then the non-essential
+terms, the one with the highest bound first, and the terms that take away are probed, for those vectors
+alone that could still enter. The lists of k of all shards are merged.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,10 +25,9 @@ from pyspark.sql import functions as F
 
 from ._util import shards
 
-#: Rows of a shard of vectors, of a block of queries, and vectors that are scored between two cuts.
-SHARD, BLOCK, STEP = 4096, 1024, 1024
-#: Terms that are probed between two cuts.
-PROBE = 8
+#: Vectors of a shard, queries of a block, vectors of a query's first step, how much larger each next step is,
+#: and dimensions that are probed between two cuts.
+SHARD, BLOCK, FIRST, GROWS, PROBE = 4096, 1024, 128, 4, 8
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -37,78 +40,127 @@ def quantized(vectors: DataFrame) -> DataFrame:
         wide = c.cast("double") * 64
         return F.when((wide >= -(2.0**63)) & (wide < 2.0**63), F.floor(wide).cast("long")).otherwise(F.raise_error(F.lit("op4_maxscore: 64 times a component doesn't fit a long")).cast("long"))
 
-    return vectors.where(x.isNotNull() & whole & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, floor).alias("v")
-    ).dropDuplicates(["vec_id", "v"])
+    return vectors.where(x.isNotNull() & whole & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, floor).alias("v"))
+
+
+@dataclass
+class Shard:
+    """Postings: those of term 2t (component t positive) and 2t + 1 (negative) are ``where`` and ``values``
+    from ``start[term]`` to ``start[term + 1]``, by place; ``ids`` of the places rise."""
+
+    ids: np.ndarray
+    start: np.ndarray
+    where: np.ndarray
+    values: np.ndarray
+
+    def __post_init__(self):
+        spans = list(zip(self.start[:-1], self.start[1:], strict=True))
+        # Of each term the largest absolute value, as Python's integers.
+        self.largest = [max(abs(int(x.max())), abs(int(x.min()))) if len(x := self.values[a:b]) else 0 for a, b in spans]
+        # Where a step begins: in places, and in each term's postings.
+        steps, size = [0], FIRST
+        while steps[-1] < len(self.ids):
+            steps.append(min(steps[-1] + size, len(self.ids)))
+            size *= GROWS
+        self.steps = steps
+        self.begins = np.array([a + np.searchsorted(self.where[a:b], steps) for a, b in spans], np.int64).reshape(len(spans), len(steps))
+        # The same components by dimension and place, in which candidates are probed.
+        self.forward = np.zeros((len(spans) // 2, len(self.ids)), np.int64)
+        for term, (a, b) in enumerate(spans):
+            self.forward[term // 2, self.where[a:b]] = self.values[a:b]
+
+    @classmethod
+    def of(cls, ids: np.ndarray, vectors: list[np.ndarray]) -> Shard:
+        """Shorter vectors have no postings for the dimensions that they lack."""
+        order = np.argsort(ids, kind="stable")
+        m = np.zeros((len(ids), max(map(len, vectors), default=0)), np.int64)
+        for i, k in enumerate(order):
+            m[i, : len(vectors[k])] = vectors[k]
+        parts = [np.flatnonzero(c) for column in m.T for c in (column > 0, column < 0)]
+        values = [m[p, t // 2] for t, p in enumerate(parts)]
+        join = lambda xs, kind: np.concatenate(xs).astype(kind) if xs else np.zeros(0, kind)
+        return cls(ids[order], np.cumsum([0] + [len(p) for p in parts]), join(parts, np.int64), join(values, np.int64))
+
+
+@dataclass
+class Work:
+    """What a search did: postings traversed and probed, and candidates that were probed at all."""
+
+    traversed: int = 0
+    probed: int = 0
+    candidates: int = 0
+
+
+def search(shard: Shard, query: np.ndarray, own: int, k: int, work: Work | None = None) -> list[tuple[int, int]]:
+    """(vec_id, score) of the ``k`` best vectors but those with id ``own``, ties to the smaller id. Sums are
+    exact: float64 integers below 2**53, else Python's integers."""
+    work = Work() if work is None else work
+    dims = min(len(query), len(shard.forward))
+    q = [int(x) for x in query[:dims]]
+    adds = sorted((abs(x) * shard.largest[2 * t + (x < 0)], t) for t, x in enumerate(q) if x)
+    # What the terms up to each one can add together.
+    upto = [0, *np.cumsum(np.array([b for b, _ in adds], object))]
+    big = sum(abs(x) * max(shard.largest[2 * t], shard.largest[2 * t + 1]) for t, x in enumerate(q)) >= 1 << 53
+    kind = object if big else np.float64
+    by_bound = np.array([t for _, t in adds], int)
+    weight = np.array([q[t] for t in by_bound], kind)
+    best, best_ids, level = np.zeros(0, kind), np.zeros(0, np.int64), None
+    for k_step, (at, end) in enumerate(zip(shard.steps[:-1], shard.steps[1:], strict=True)):
+        cut = 0 if level is None else int(np.searchsorted(np.array(upto[1:], kind), level, side="right"))
+        score = np.zeros(end - at, kind)
+        seen = np.zeros(end - at, bool)
+        if level is None or level < 0:
+            seen[:] = True  # a vector in no posting at all scores up to 0 and may still enter
+        for t, x in zip(by_bound[cut:], weight[cut:], strict=True):
+            term = 2 * t + (x < 0)
+            a, b = shard.begins[term, k_step], shard.begins[term, k_step + 1]
+            places = shard.where[a:b] - at
+            score[places] += shard.values[a:b].astype(kind, copy=False) * x  # a term has a vector once
+            seen[places] = True
+            work.traversed += len(places)
+        seen[shard.ids[at:end] == own] = False
+        who = np.flatnonzero(seen)
+        who = who if level is None else who[score[who] + upto[cut] > level]
+        work.candidates += len(who)
+        # Non-essential terms in falling bound with what their dimensions take away, then what the essential ones' take.
+        stops = [*range(cut, 0, -PROBE), 0]
+        turns = [(slice(lo, hi), upto[lo], False) for hi, lo in zip(stops[:-1], stops[1:], strict=True)]
+        turns += [(slice(lo, min(lo + PROBE, len(q))), 0, True) for lo in range(cut, len(by_bound), PROBE)]
+        for part, left, takes in turns:
+            if not len(who):
+                break
+            products = shard.forward[by_bound[part][:, None], at + who].astype(kind, copy=False) * weight[part][:, None]
+            score[who] += (np.minimum(products, 0) if takes else products).sum(axis=0)
+            work.probed += products.size
+            if level is not None:
+                who = who[score[who] + left > level]
+        # Ids rise, so an equal score in a later step can't enter.
+        all_scores, all_ids = np.concatenate([best, score[who]]), np.concatenate([best_ids, shard.ids[at:end][who]])
+        order = np.lexsort((all_ids, -all_scores))[:k]
+        best, best_ids = all_scores[order], all_ids[order]
+        level = best[-1] if len(best) == k else None
+    return [(int(i), int(s)) for i, s in zip(best_ids, best, strict=True)]
+
+
+def _indexed(rows: DataFrame) -> DataFrame:
+    """One row a shard: its postings as bytes."""
+
+    def index(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        s = Shard.of(pdf["vec_id"].to_numpy(np.int64), [np.asarray(v, np.int64) for v in pdf["v"]])
+        return pd.DataFrame({"shard": [key[0]], **{c: [np.asarray(getattr(s, c), np.int64).tobytes()] for c in ("ids", "start", "where", "values")}})
 
+    return rows.groupBy("shard").applyInPandas(index, "shard int, ids binary, start binary, where binary, values binary")
 
-def _packed(rows: DataFrame, block: str) -> DataFrame:
-    """One row a block: ids and components as bytes, dimensions; shorter vectors are filled up with 0."""
+
+def _blocked(rows: DataFrame) -> DataFrame:
+    """One row a block of queries: their ids, dimensions and components as bytes."""
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id", kind="stable")
-        dims = max(map(len, pdf["v"]), default=0)
-        m = np.zeros((len(pdf), dims), np.int64)
-        for i, v in enumerate(pdf["v"]):
-            m[i, : len(v)] = v
-        return pd.DataFrame({block: [key[0]], "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "comps": [m.tobytes()], "dims": [dims]})
-
-    return rows.groupBy(block).applyInPandas(pack, f"{block} int, ids binary, comps binary, dims int")
-
-
-def _merge(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -scores))[:k]
-    return scores[order], ids[order]
-
-
-def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, vector, score) of each query's k best among the vectors, ties to the smaller id. Scores
-    are exact: products of float64 integers below 2**53, else of Python's integers."""
-    if not len(ids) or not len(query_ids):
-        return []
-    largest = lambda m: np.maximum(m.max(axis=0, initial=0).astype(object), -m.min(axis=0, initial=0).astype(object))
-    bound_v, bound_q = largest(vectors), largest(queries)
-    kind = np.float64 if int((bound_v * bound_q).sum()) < 1 << 53 else object
-    v, q = vectors.astype(kind), queries.astype(kind)
-    # Bounds of each query's terms over this shard.
-    bounds = np.maximum(np.maximum(q * v.max(axis=0), q * v.min(axis=0)), 0)
-    order = np.argsort(-bounds.sum(axis=0), kind="stable")
-    v, q, bounds = v[:, order], q[:, order], bounds[:, order]
-    rest = np.zeros((len(q), q.shape[1] + 1), kind)
-    rest[:, :-1] = np.cumsum(bounds[:, ::-1], axis=1)[:, ::-1]  # what the terms from t on can add
-    best = [(np.zeros(0, kind), np.zeros(0, np.int64)) for _ in query_ids]
-    theta = np.array([None] * len(q), object)
-    for at in range(0, len(v), STEP):
-        part, part_ids = v[at : at + STEP], ids[at : at + STEP]
-        if any(t is None for t in theta):
-            essential, level = q.shape[1], None
-        else:
-            level = theta.astype(kind)[:, None]
-            # The block's essential terms: those before the rest is below every query's k-th score.
-            essential = int(np.argmax((rest < level).all(axis=0))) if (rest < level).all(axis=0).any() else q.shape[1]
-        partial = q[:, :essential] @ part[:, :essential].T
-        if level is None:
-            who, what = np.nonzero(np.ones(partial.shape, bool))
-        else:
-            # Postings: a vector in no essential one adds nothing positive there.
-            who, what = np.nonzero(partial + rest[:, essential, None] >= level)
-        score, t = partial[who, what], essential
-        while t < q.shape[1] and len(who):
-            end = min(t + PROBE, q.shape[1])
-            score = score + (q[who, t:end] * part[what, t:end]).sum(axis=1)
-            t = end
-            if level is not None:
-                alive = score + rest[who, t] >= level[who, 0]
-                who, what, score = who[alive], what[alive], score[alive]
-        mine = query_ids[who] != part_ids[what]
-        who, what, score = who[mine], what[mine], score[mine]
-        cuts = np.searchsorted(who, np.arange(len(q) + 1))
-        for j in np.unique(who):
-            a, b = cuts[j], cuts[j + 1]
-            best[j] = _merge(np.concatenate([best[j][0], score[a:b]]), np.concatenate([best[j][1], part_ids[what[a:b]]]), k)
-            if len(best[j][0]) == k:
-                theta[j] = best[j][0][-1]
-    return [(int(qid), int(i), int(s)) for qid, (ss, ii) in zip(query_ids, best, strict=True) for s, i in zip(ss, ii, strict=True)]
+        dims = np.array([len(v) for v in pdf["v"]], np.int64)
+        comps = b"".join(np.asarray(v, np.int64).tobytes() for v in pdf["v"])
+        return pd.DataFrame({"block": [key[0]], "q_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "q_dims": [dims.tobytes()], "q_comps": [comps]})
+
+    return rows.groupBy("block").applyInPandas(pack, "block int, q_ids binary, q_dims binary, q_comps binary")
 
 
 def top_k(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
@@ -117,40 +169,43 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     ``vectors``: vec_id, embedding; components count as floor(64 * x); other columns are ignored. Returns
     query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id.
 
-    Vectors that are null, or hold null or non-finite components, and null ids take no part. Vectors of
-    different length are filled up with 0. Rows that repeat id and vector count once; a row is no
-    candidate for a query with its own id. An empty table gives an empty result.
+    Vectors that are null, or hold null or non-finite components, and null ids take no part. A dimension
+    that a shorter vector lacks counts 0. Each row is a candidate, so rows that repeat id and vector may
+    come several times; rows with the query's own id are no candidates for it. Each row divisible by
+    ``every`` is a query of its own, so a query that repeats has its list repeated. An empty table gives
+    an empty result.
     """
     rows = quantized(vectors)
     seen = vectors.agg(F.count("*").alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("q")).first()
     n_shards, n_blocks = shards(seen["n"], SHARD, 1), shards(seen["q"], BLOCK, 1)
-    dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    stored = _packed(rows.withColumn("shard", dealt(n_shards)), "shard")
-    asked = _packed(rows.where(F.col("vec_id") % every == 0).withColumn("block", dealt(n_blocks)), "block")
+    # Rows are dealt with their place in the table, so that rows with one id don't meet in one shard.
+    dealt = lambda n: F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(n)).cast("int")
+    stored = _indexed(rows.withColumn("shard", dealt(n_shards)))
+    asked = _blocked(rows.where(F.col("vec_id") % every == 0).withColumn("block", dealt(n_blocks)))
     # The stated set of queries, in blocks, meets every shard.
-    met = asked.toDF("block", "q_ids", "q_comps", "q_dims").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).join(stored, "shard")
+    met = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).join(stored, "shard")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for r in pdf.itertuples():
-                dims = max(r.dims, r.q_dims)
-                fill = lambda raw, d: np.pad(np.frombuffer(raw, np.int64).reshape(-1, d) if d else np.zeros((0, 0), np.int64), ((0, 0), (0, dims - d)))  # noqa: B023, E731
-                found = search(np.frombuffer(r.ids, np.int64), fill(r.comps, r.dims), np.frombuffer(r.q_ids, np.int64), fill(r.q_comps, r.q_dims), k) if dims else []
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"], dtype="int64")
+            for r in pdf.to_dict("records"):
+                s = Shard(*(np.frombuffer(r[c], np.int64) for c in ("ids", "start", "where", "values")))
+                comps = np.split(np.frombuffer(r["q_comps"], np.int64), np.cumsum(np.frombuffer(r["q_dims"], np.int64))[:-1])
+                found = [(r["block"], j, q, *x) for j, (q, c) in enumerate(zip(np.frombuffer(r["q_ids"], np.int64).tolist(), comps, strict=True)) for x in search(s, c, q, k)]
+                yield pd.DataFrame(found, columns=["block", "place", "query_id", "vec_id", "score"]).astype({"block": "int32", "place": "int32", "query_id": "int64", "vec_id": "int64", "score": "int64"})
 
-    lists = met.repartition(n_shards * n_blocks, "shard", "block").mapInPandas(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    lists = met.repartition(n_shards * n_blocks, "shard", "block").mapInPandas(run, "block int, place int, query_id long, vec_id long, score long")
+    order = Window.partitionBy("block", "place").orderBy(F.desc("score"), "vec_id")
+    best = lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  SELECT vec_id, row_number() OVER () AS place, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, q.place, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
-), r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+), r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._util import checkpoint, new_folder
+from ._util import checkpoint, new_folder, ranked, table
 
 #: Fixed values of the format: magic number of the frame that holds the dictionary.
 SKIPPABLE = 0x184D2A5D
@@ -107,15 +107,29 @@ def _page(urn: str | None) -> int | None:
 
 
 def plan(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, url, html (null for revisits), payload_bytes, sha1 (20 bytes), refers_to."""
+    """page_id, url, html (null for revisits), payload_bytes, sha1 (20 bytes), refers_to.
+
+    Only ids and digests are grouped and meet; the html moves once at most, dealt by page_id, so a payload
+    with a third of all rows is in no single task.
+    """
     html = F.coalesce(F.col("html"), F.lit(""))
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.unhex(F.sha1(html.cast("binary"))).alias("sha1"))
-    # Only payloads that repeat go into the join; a payload with a third of all rows is folded on the map side.
-    repeated = keyed.where(F.col("payload_bytes") >= least).groupBy(F.col("sha1").alias("of")).agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
-    first = F.col("last").isNull() | F.coalesce(F.col("page_id") == F.col("last"), F.lit(False))
-    return keyed.join(repeated.hint("shuffle_hash"), F.col("sha1") == F.col("of"), "left").select(
-        "page_id", "url", F.when(first, F.col("html")).alias("html"), "payload_bytes", "sha1", F.when(~first, F.col("last")).alias("refers_to")
-    )
+    bare = table(keyed.where(F.col("payload_bytes") >= least).groupBy("page_id", "sha1").agg(F.count("*").alias("n")))
+    repeated = bare.groupBy(F.col("sha1").alias("of")).agg(F.max("page_id").alias("last"), F.sum("n").alias("all")).where("all > 1 and last is not null").drop("all")
+    # Rows that aren't named here are responses.
+    named = table(bare.join(repeated, F.col("sha1") == F.col("of")).where("n > 1 or not page_id <=> last").select(F.col("page_id").alias("p"), F.col("sha1").alias("s"), "last", "n"))
+    same = F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha1") == F.col("s"))
+    last = F.col("page_id").eqNullSafe(F.col("last"))
+    columns = ["page_id", "url", "html", "payload_bytes", "sha1"]
+    revisit = lambda rows, is_: rows.select("page_id", "url", F.when(~is_, F.col("html")).alias("html"), "payload_bytes", "sha1", F.when(is_, F.col("last")).alias("refers_to"))
+    out = revisit(keyed.join(named.where("not p <=> last"), same, "left").select(*columns, "last"), F.col("last").isNotNull())
+    again = named.where("p <=> last")
+    if again.limit(1).count():
+        # Rows that repeat the largest page_id: the first by url is the response.
+        out = out.join(again.select("p", "s"), same, "left_anti")
+        many = ranked(keyed.join(again, same).where(last).select(*columns, "last"), ["page_id", "sha1"], [F.col("url")])
+        out = out.unionByName(revisit(many, F.col("rank") > 0))
+    return out
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
@@ -174,9 +188,10 @@ def warc_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     row of ``pages``: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Of equal payloads of at least ``least`` bytes the one with the largest page_id is the response, and
-    smaller payloads are all responses. Null html is the empty payload. Rows that repeat the largest
-    page_id are responses too. A null page_id never is the largest; if there is no other, rows are all
-    responses. An empty table gives an empty result.
+    smaller payloads are all responses. Null html is the empty payload. Of rows that repeat the largest
+    page_id one is the response and the others revisit it, under the same page_id. A null page_id never is
+    the largest; if there is no other, a revisit couldn't name its response, so rows are all responses. An
+    empty table gives an empty result.
     """
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
@@ -188,9 +203,9 @@ def warc_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
 
 #: Base32 from hexadecimal: groups of 40 bits are ten hexadecimal figures and eight letters.
 SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-g AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+WITH g AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS last, row_number() OVER (PARTITION BY h, page_id ORDER BY url) AS rn FROM (SELECT page_id, url, coalesce(html, '') AS h FROM pages)),
+r AS (SELECT *, last IS NULL OR coalesce(page_id = last AND rn = 1, false) AS response FROM g)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(s, (i // 8) * 10 + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
-  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM g
+  CASE WHEN response THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN NOT response THEN last END AS refers_to FROM r
 """

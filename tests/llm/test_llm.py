@@ -283,7 +283,7 @@ def test_maxscore_odd(spark):
     data = [(i, [rng.gauss(0, 1) for _ in range(8)], 1) for i in range(150)]
     data += [(200 + i, [0.5] * 8, 1) for i in range(60)] + [(300, None, 1), (301, [1.0, None], 1), (302, [math.nan], 1), (303, [math.inf], 1), (None, [1.0], 1), (320, [1.0, 2.0], 1), (340, [], 1), (20, data[20][1], 1), (5, [3e9] * 8, 1)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").withColumns({c: F.lit(1) for c in CLASH})
-    clean = {(i, tuple(math.floor(64 * x) for x in v)) for i, v, _ in data if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    clean = [(i, tuple(math.floor(64 * x) for x in v)) for i, v, _ in data if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     expected = []
     for q, a in clean:
         if q % 20 == 0:
@@ -294,6 +294,38 @@ def test_maxscore_odd(spark):
     assert maxscore.top_k(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["dense", "sparse", "skewed", "negative", "few"])
+def test_maxscore_touches_few_postings(kind):
+    """Results are brute force's; where bounds differ, most postings are never traversed."""
+    rng = np.random.default_rng(8)
+    n, dims = (12, 6) if kind == "few" else (4000, 48)
+    m = rng.integers(-60, 61, (n, dims))
+    if kind == "sparse":
+        m[rng.random(m.shape) < 0.9] = 0
+    if kind == "skewed":
+        m = np.where(np.arange(dims) < 4, m * 40, m // 20)
+    if kind == "negative":
+        m[:, 0] = -5000
+    shard = maxscore.Shard.of(rng.permutation(n).astype(np.int64) * 3, list(m))
+    dense = np.zeros((n, dims), np.int64)
+    for t in range(2 * dims):
+        a, b = shard.start[t], shard.start[t + 1]
+        dense[shard.where[a:b], t // 2] = shard.values[a:b]
+    work, postings = maxscore.Work(), 0
+    for q in range(0, n, max(1, n // 30)):
+        query = np.abs(dense[q]) if kind == "negative" else dense[q]
+        scores = dense @ query
+        own = int(shard.ids[q])
+        best = sorted((-int(s), int(i)) for s, i in zip(scores, shard.ids, strict=True) if i != own)[:20]
+        assert maxscore.search(shard, query, own, 20, work) == [(i, -s) for s, i in best]
+        postings += sum(int(shard.start[2 * t + (x < 0) + 1] - shard.start[2 * t + (x < 0)]) for t, x in enumerate(query) if x)
+    assert work.traversed <= postings
+    if kind == "skewed":
+        assert work.traversed < 0.35 * postings
+    if kind in ("sparse", "skewed"):
+        assert work.candidates < 0.5 * n * 30
+
+
 def test_maxscore_large_components(spark):
     data = [(20, [1e15, 1.0]), (1, [1.0, 0.0]), (2, [2e16, 0.0]), (3, [-1e15, 5.0]), (40, [-(2.0**57), 0.0])]
     make = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -515,10 +547,15 @@ def test_warc_round_trip(spark):
     last: dict = {}
     for p, _, h in data:
         last[h or ""] = max(last.get(h or "", -1), -1 if p is None else p)
-    expected = []
+    data += [(70, "x", "again"), (70, "x", "again"), (70, "w", "again"), (69, "x", "again")]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("last", F.lit(1)).withColumn("sha1", F.lit(2))
+    last["again"] = 70
+    expected, responded = [], set()
     for p, _, h in data:
         body = (h or "").encode()
-        other = last[h or ""] if last[h or ""] >= 0 and p != last[h or ""] else None
+        other = last[h or ""] if last[h or ""] >= 0 and (p != last[h or ""] or h in responded) else None
+        if p == last[h or ""]:
+            responded.add(h)
         expected.append((p, len(body), warc.sha1_base32(body), "response" if other is None else "revisit", other))
     got = warc.warc_round_trip(df)
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
