@@ -1,17 +1,19 @@
 """Toxicity by weak supervision.
 
 1. Lexicons: over a bounded sample of labelled rows, words and word beginnings are counted by label, and
-   those with the highest likelihood ratio are kept.
-2. Voters: each lexicon group votes toxic or clean where one of its entries occurs and else abstains;
-   patterns vote beside them.
+   those with the highest likelihood ratio are kept: strong ones, which hardly any clean text has, and weak.
+2. Voters: groups of strong entries vote toxic where one occurs, counts of weak ones where several different
+   words do; a text without either has a vote for clean; patterns and fixed insults vote beside them.
+   Otherwise voters abstain.
 3. Label model: a generative model of the votes with a latent label. EM estimates what each voter does
-   under each label; the votes' correlations under the same label are then measured, correlated voters
-   share their weight, and EM runs again.
+   under each label, from the votes alone; the votes' correlations under the same label are then measured,
+   correlated voters share their weight, and EM runs again. It sees no labels but their share.
 4. Classifier: a logistic regression over the presence of lexicon entries learns the posterior labels. Its
    scale is then set on the sample's labels. It is the classifier that scores all documents.
 
-The sample is ``SAMPLE`` rows at most, those with the smallest hash of doc_id; everything that goes to the
-driver is bounded by it and by ``ENTRIES``. Scoring sees whole texts and nothing but texts.
+The sample is ``SAMPLE`` rows at most, those with the smallest hash of doc_id; it is written once, and
+everything that goes to the driver is bounded by it and by ``ENTRIES``. Scoring sees whole texts and
+nothing but texts.
 """
 
 from __future__ import annotations
@@ -27,18 +29,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._util import table
+
 #: Labelled rows to learn from at most, lexicon entries at most, and documents that an entry needs.
 SAMPLE, ENTRIES, LEAST = 20_000, 4096, 3
-#: Groups of toxic and of clean lexicon entries, each a voter.
-TOXIC_GROUPS, CLEAN_GROUPS = 24, 8
+#: Groups of strong entries, each a voter.
+GROUPS = 8
+#: Ratio of an entry's shares under the two labels from which it is strong.
+STRONG = 50.0
 #: Lengths of the word beginnings that count beside words.
 BEGINNINGS = (4, 5, 6)
 #: Entries for a number of different words that are toxic entries.
 HITS = ((1, "#1"), (2, "#2"), (4, "#4"))
-#: Share of labels taken to be wrong.
-WRONG = 0.03
 #: Smallest ratio of an entry's shares under the two labels, and smallest likelihood-ratio statistic.
-RATIO, SIGNIFICANT = 5.0, 10.8
+RATIO, SIGNIFICANT = 5.0, 15.0
 #: Score from which a document is taken for toxic.
 REJECT = 0.7
 
@@ -46,6 +50,7 @@ REJECT = 0.7
 SEEDS = "idiot moron loser stupid pathetic worthless disgusting scum trash clown dumb fool imbecile garbage filth hate kill".split()
 SEEDS += "dumm idiotin abschaum ekelhaft wertlos imbécile stupide nul ordure débile estúpido imbécil basura asqueroso inútil".split()
 
+_SEEDS = frozenset(SEEDS)
 _WORD = re.compile(r"[^\W\d_]+")
 _PATTERNS = (
     re.compile(r"(?i)\b(?:you|du|tu|vous|usted|eres)\W+(?:\w+\W+){0,3}?(?:" + "|".join(SEEDS) + r")"),
@@ -101,41 +106,42 @@ def seed_model() -> Model:
     return Model({f"={w}": i for i, w in enumerate(SEEDS)}, len(SEEDS), np.full(len(SEEDS), 5.0), -3.0)
 
 
-def votes(present: list[np.ndarray], texts_votes: np.ndarray, sign: np.ndarray, names: list[str]) -> np.ndarray:
-    """(documents, voters) of 1 toxic, -1 clean, 0 none. ``sign``: of each entry, 1 toxic, -1 clean.
-    Entries that begin alike are of one group: a word has one vote."""
-    stem = np.array([zlib.crc32(x.lstrip("=")[: BEGINNINGS[0]].encode()) for x in names], np.int64)
-    group = np.where(sign > 0, stem % TOXIC_GROUPS, TOXIC_GROUPS + stem % CLEAN_GROUPS)
-    out = np.zeros((len(present), TOXIC_GROUPS + CLEAN_GROUPS + 2), np.int8)
-    for i, ids in enumerate(present):
-        ids = ids[ids < len(sign)]
-        g = group[ids]
-        out[i, g] = np.where(g < TOXIC_GROUPS, 1, -1)
-        hits = int((sign[ids] > 0).sum())
-        out[i, -2] = 1 if hits >= 3 else 0
-        out[i, -1] = -1 if not hits else 0
-    return np.hstack([out, texts_votes])
-
-
-def label_model(v: np.ndarray, prior: float, hint: np.ndarray | None = None, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def votes(text: str | None, features: _Features, strong: dict[int, int], toxic: int) -> list[int]:
+    """1 toxic, -1 clean, 0 none of each voter. ``strong``: groups of the strong entries; the first ``toxic``
+    entries are toxic, ``features`` knows all."""
+    out = [0] * (GROUPS + 5)
+    sure = weak = clean = 0
+    words = words_of(text)
+    for w in words:
+        ids = features[w]
+        groups = [strong[i] for i in ids if i in strong]
+        if groups:
+            sure += 1
+            out[groups[0]] = 1
+        elif any(i < toxic for i in ids):
+            weak += 1
+        elif ids:
+            clean += 1
+    out[GROUPS:] = int(weak >= 2), int(weak >= 4), int(sure + weak >= 3), -int(not sure and weak < 2), -int(clean > 0 and not sure)
+    return out + [int(bool(p.search(text or ""))) for p in _PATTERNS] + [int(not _SEEDS.isdisjoint(words))]
+
+
+def label_model(v: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of label 1, each voter's P(vote | label) as (voters, 2, 3), and the votes' correlations
-    under the same label. ``hint``: labels, which vote too and are wrong in ``WRONG`` of all cases; without
-    them voters that copy each other can pass for the label."""
+    under the same label, from votes (documents, voters) alone. ``prior``: share of label 1."""
     n, m = v.shape
     shown = np.stack([v == x for x in (-1, 0, 1)], axis=2).astype(float)
     weight = np.ones(m)
-    told = 0.0 if hint is None else np.log((1 - WRONG) / WRONG) * (2 * hint - 1)
-    post = np.clip(0.5 + 0.5 * np.tanh(v.sum(axis=1) / 2), 0.02, 0.98) if hint is None else WRONG + (1 - 2 * WRONG) * hint
+    post = np.clip(0.5 + 0.5 * np.tanh(v.sum(axis=1) / 2), 0.02, 0.98)  # the majority's
     rho = np.zeros((m, m))
     for again in range(2):
-        # With labels the first pass only measures the votes around them.
-        for _ in range(rounds if hint is None or again else 1):
+        for _ in range(rounds):
             y = np.stack([1 - post, post], axis=1)
             # Smoothing leans each voter slightly to its own side, so the classes don't swap.
             acc = np.einsum("nk,nmv->mkv", y, shown) + np.array([[2.0, 1.0, 0.2], [0.2, 1.0, 2.0]])
             acc /= acc.sum(axis=2, keepdims=True)
             like = np.einsum("nmv,mkv,m->nk", shown, np.log(acc), weight) + np.log([1 - prior, prior])
-            post = 1 / (1 + np.exp(np.clip(like[:, 0] - like[:, 1] - told, -50, 50)))
+            post = 1 / (1 + np.exp(np.clip(like[:, 0] - like[:, 1], -50, 50)))
         if again == 0:
             mean = np.einsum("nk,nm->km", y, v.astype(float)) / np.maximum(y.sum(axis=0)[:, None], 1)
             left = v - y @ mean
@@ -187,7 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("l_id")).agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("l_id"), "l_id").limit(sample)
     )
-    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("l_id"), "text").join(F.broadcast(known), "l_id").select("l_id", "text", "toxic")
+    # Written once: everything that is learnt reads this sample and not the documents again.
+    texts = table(docs.where("text is not null").select(F.col("doc_id").cast("long").alias("l_id"), "text").join(F.broadcast(known), "l_id").select("l_id", "text", "toxic"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features, toxic, clean = _Features(), Counter(), Counter()
@@ -199,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         names = list(toxic.keys() | clean.keys())
         yield pd.DataFrame({"entry": ["", *names], "t": [n[1], *(toxic[x] for x in names)], "c": [n[0], *(clean[x] for x in names)]}).astype({"t": "int64", "c": "int64"})
 
-    counts = texts.mapInPandas(count, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where(F.col("t") + F.col("c") >= LEAST)
+    counts = table(texts.mapInPandas(count, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where(F.col("t") + F.col("c") >= LEAST))
     all_ = counts.where("entry = ''").first()
     if all_ is None or not all_["t"] or not all_["c"]:
         return seed_model()
@@ -210,29 +217,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     sign = F.when(F.col("t") / float(nt) > F.col("c") / float(nc), 1).otherwise(-1)
     odds = F.log((F.col("t") + 0.5) / (nt + 1.0)) - F.log((F.col("c") + 0.5) / (nc + 1.0))
     likely = counts.where("entry <> ''").where(F.abs(odds) >= float(np.log(RATIO)))
-    scored = likely.select("entry", g2.alias("g2"), sign.alias("sign")).where(F.col("g2") >= SIGNIFICANT)
+    scored = likely.select("entry", g2.alias("g2"), sign.alias("sign"), odds.alias("odds")).where(F.col("g2") >= SIGNIFICANT)
     # Bounded: ENTRIES rows come to the driver. A quarter may speak for clean texts.
     top = [r for s, k in ((1, ENTRIES * 3 // 4), (-1, ENTRIES // 4)) for r in scored.where(F.col("sign") == s).orderBy(F.desc("g2"), "entry").limit(k).collect()]
-    entries, signs = {r["entry"]: i for i, r in enumerate(top)}, np.array([r["sign"] for r in top])
+    entries = {r["entry"]: i for i, r in enumerate(top)}
     if not entries:
         return seed_model()
-    toxic = int((signs > 0).sum())  # toxic ones come first
+    toxic = sum(r["sign"] > 0 for r in top)  # toxic ones come first
+    # Entries that begin alike are of one group: a word has one vote.
+    strong = {i: zlib.crc32(r["entry"].lstrip("=")[: BEGINNINGS[0]].encode()) % GROUPS for i, r in enumerate(top) if r["sign"] > 0 and r["odds"] >= float(np.log(STRONG))}
     entries |= {name: len(entries) + i for i, (_, name) in enumerate(HITS)}
 
-    seeds = set(SEEDS)
-
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = _Features(entries, toxic)
         for pdf in batches:
-            own = [[int(bool(p.search(t))) for p in _PATTERNS] + [int(not seeds.isdisjoint(words_of(t)))] for t in pdf["text"]]
-            yield pd.DataFrame({"l_id": pdf["l_id"], "toxic": pdf["toxic"].astype("int64"), "ids": [sorted(entries_of(t, features)) for t in pdf["text"]], "own": own})
+            yield pd.DataFrame({"l_id": pdf["l_id"], "toxic": pdf["toxic"].astype("int64"), "ids": [sorted(entries_of(t, features)) for t in pdf["text"]], "votes": [votes(t, features, strong, toxic) for t in pdf["text"]]})
 
     # Bounded: ``sample`` rows of entry numbers come to the driver.
-    rows = texts.mapInPandas(mark, "l_id long, toxic long, ids array<int>, own array<int>").toPandas().sort_values(["l_id"], kind="stable")
+    rows = texts.mapInPandas(mark, "l_id long, toxic long, ids array<int>, votes array<int>").toPandas().sort_values(["l_id"], kind="stable")
     present = [np.asarray(x, int) for x in rows["ids"]]
     y = rows["toxic"].to_numpy(float)
-    v = votes(present, np.array(rows["own"].tolist(), np.int8).reshape(len(rows), -1), signs, [r["entry"] for r in top])
-    post, _, _ = label_model(v, float(np.clip(y.mean(), 0.01, 0.99)), y)
+    post, _, _ = label_model(np.array(rows["votes"].tolist(), np.int8).reshape(len(rows), -1), float(np.clip(y.mean(), 0.01, 0.99)))
     w, b = logistic(present, post, len(entries))
     z = b + np.array([w[x].sum() for x in present])
     a, shift = _platt(z, y)

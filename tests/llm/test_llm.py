@@ -467,16 +467,31 @@ def test_toxicity_held_out(spark):
 
 
 def test_label_model():
+    """From votes alone: the good voters are told from a weak one that three others copy."""
     rng = np.random.default_rng(5)
-    y = rng.random(3000) < 0.3
-    good = [np.where(rng.random(3000) < a, np.where(y, 1, -1), np.where(y, -1, 1)) for a in (0.9, 0.8, 0.75)]
-    copied = [np.where(rng.random(3000) < 0.97, good[2], -good[2]) for _ in range(3)]
-    v = np.stack([*good, *copied], axis=1).astype(np.int8)
-    hint = np.where(rng.random(3000) < 0.05, ~y, y).astype(float)
-    post, acc, rho = toxicity.label_model(v, 0.3, hint)
-    assert rho[3, 4] > 0.5
-    assert abs(rho[0, 1]) < 0.3
-    assert ((post > 0.5) == y).mean() > 0.8
+    y = rng.random(6000) < 0.3
+    flip = lambda a: np.where(rng.random(6000) < a, np.where(y, 1, -1), np.where(y, -1, 1))
+    good, weak = [flip(0.92), flip(0.9), flip(0.88), flip(0.85)], flip(0.6)
+    copied = [np.where(rng.random(6000) < 0.9, weak, -weak) for _ in range(2)]
+    v = np.stack([*good, weak, *copied], axis=1).astype(np.int8)
+    v[rng.random(v.shape) < 0.1] = 0
+    post, acc, rho = toxicity.label_model(v, 0.3)
+    assert ((post > 0.5) == y).mean() > 0.93
+    assert rho[5, 6] > 0.4
+    assert abs(rho[0, 1]) < 0.2
+    right = acc[:, 1, 2] / (acc[:, 1, 0] + acc[:, 1, 2])
+    assert min(right[:4]) > max(right[4:])
+
+
+def test_toxicity_learns_from_votes_and_not_from_labels(spark, monkeypatch):
+    """The label model gets votes and the labels' share; what it says is what the classifier learns."""
+    seen = {}
+    model, learn = toxicity.label_model, toxicity.logistic
+    monkeypatch.setattr(toxicity, "label_model", lambda v, prior: seen.setdefault("out", model(v, prior)))
+    monkeypatch.setattr(toxicity, "logistic", lambda present, target, width: learn(present, seen.setdefault("target", target), width))
+    sf = DATA.replace("sf0.001", "sf0.01")
+    toxicity.fit(*(spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels")))
+    assert seen["target"] is seen["out"][0]
 
 
 def test_toxicity_odd(spark):
