@@ -1,13 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read into text nodes with their root-to-leaf tag paths. Nodes that say themselves that they are
-no article (navigation, forms, adverts, scripts and so on, by element, role, whole class or id) leave first,
-unless they hold the article themselves. For
-each path the mean text length and the mean punctuation of its nodes are its two ratios; both are smoothed
-along the page with a Gaussian, fused as a geometric mean and cut at a share of their spread. The nodes on
-the paths above the cut choose the content's container: from the root down to the deepest sectioning
-element that still holds nearly all of them. The result is all remaining text of the container, and of the
-blocks outside it that are selected for the most part; selected nodes elsewhere are added alone.
+A page is read into text nodes with their root-to-leaf tag paths, menus and adverts included. For each path
+the mean text length and the mean punctuation of its nodes are its two ratios; both are smoothed along the
+page with a Gaussian, fused as a geometric mean and cut at a share of their spread. Nodes on paths above the
+cut are selected. What says itself that it is one of the kinds that the result leaves out (navigation, forms,
+adverts, comments and so on, by element, role, whole class or id) is vetoed, unless it holds the article or
+most of the page's text. The selected nodes choose the container: from the root down to the deepest
+sectioning element that still holds nearly all of them.
+
+The result is the selected nodes with what belongs to them: in a container that is an article all that isn't
+vetoed; in any other what stands between the first and the last selected node, links on weak paths left out,
+and the headings right before; outside of it the blocks that are selected for the most part.
 """
 
 from __future__ import annotations
@@ -59,7 +62,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_APART = frozenset("html body article main".split())
 
 #: Share of the fused ratios' standard deviation that a path needs.
-CUT = 0.5
+CUT = 1.0
 #: Share of the selected text that a container must hold.
 HOLDS = 0.85
 
@@ -93,27 +96,40 @@ def _marks(name: str, attrs: str) -> set[str]:
 
 
 class Page:
-    """Text nodes of a page in order: text, owner (element), path; -1 as owner: a block ends here."""
+    """Text nodes of a page in order: text, owner (element), path; -1 as owner: a block ends here.
+
+    A path is a number, given to each pair of a path and a tag that continues it, so memory grows with the
+    number of elements and not with their depth."""
 
     def __init__(self, source: str):
         self.names, self.parents = ["html"], [-1]
         self.texts: list[str] = []
         self.owners: list[int] = []
-        self.paths: list[str] = []
+        self.paths: list[int] = []
         self.links: list[bool] = []
+        self.apart: set[int] = set()
         self.marks: dict[int, set[str]] = {}
-        stack: list[tuple[str, int, str, bool]] = [("html", 0, "html", False)]  # name, element, path, apart
+        numbers: dict[tuple[int, str], int] = {}
+        stack: list[tuple[str, int, int, bool]] = [("html", 0, 0, False)]  # name, element, path, in a link
+        open_: dict[str, int] = {}
         inside, at, n = 0, 0, len(source)
+
+        def close(i: int) -> None:
+            nonlocal inside
+            for name, _, _, _ in stack[i:]:
+                open_[name] -= 1
+                inside -= name in ARTICLE
+            del stack[i:]
+
         while at < n:
             m = _TOKEN.match(source, at)
             at = m.end()
             if (text := m["text"] or m["lone"]) is not None:
-                name, element, path, apart = stack[-1]
-                if not apart:
-                    self.texts.append(text)
-                    self.owners.append(element)
-                    self.paths.append(path)
-                    self.links.append(any(s[0] == "a" for s in stack[-4:]))
+                _, element, path, link = stack[-1]
+                self.texts.append(text)
+                self.owners.append(element)
+                self.paths.append(path)
+                self.links.append(link)
                 continue
             name = m["name"] or m["name2"]
             if name is None:
@@ -123,75 +139,78 @@ class Page:
             if name not in INLINE:
                 self.texts.append(" ")
                 self.owners.append(-1)
-                self.paths.append("")
+                self.paths.append(-1)
                 self.links.append(False)
             if m["end"] or m["end2"]:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == name:
-                        inside -= sum(s[0] in ARTICLE for s in stack[i:])
-                        del stack[i:]
-                        break
-                    if stack[i][0] in SECTIONS and (name in INLINE or name in GROUPS):
-                        break
+                if open_.get(name):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i][0] == name:
+                            close(i)
+                            break
+                        if stack[i][0] in SECTIONS and (name in INLINE or name in GROUPS):
+                            break
                 continue
             if name in RAW:
-                close = re.compile(rf"</{name}[\s/>]", re.I).search(source, at)
-                at = source.find(">", close.start()) + 1 if close else n
+                end = re.compile(rf"</{name}[\s/>]", re.I).search(source, at)
+                at = source.find(">", end.start()) + 1 if end else n
                 at = at or n
                 continue
             if name in VOID or name == "html":
                 continue
             if name in ENDS_P or name in GROUPS:
                 group = GROUPS.get(name, "").split()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in group or stack[i][0] == "p" and name in ENDS_P:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in SECTIONS or stack[i][0] in ("ul", "ol", "dl", "blockquote"):
-                        break
+                if any(open_.get(x) for x in (*group, "p")):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i][0] in group or stack[i][0] == "p" and name in ENDS_P:
+                            close(i)
+                            break
+                        if stack[i][0] in SECTIONS or stack[i][0] in ("ul", "ol", "dl", "blockquote"):
+                            break
             if attrs.rstrip().endswith("/") and name in INLINE:
                 continue
             parent = stack[-1]
             self.names.append(name)
             self.parents.append(parent[1])
-            stack.append((name, len(self.names) - 1, f"{parent[2]}/{name}", parent[3] or _apart(name, attrs, inside > 0)))
-            if marks := _marks(name, attrs):
-                self.marks[len(self.names) - 1] = marks
+            element = len(self.names) - 1
+            stack.append((name, element, numbers.setdefault((parent[2], name), len(numbers) + 1), parent[3] or name == "a"))
+            open_[name] = open_.get(name, 0) + 1
+            if _apart(name, attrs, inside > 0):
+                self.apart.add(element)
+            elif marks := _marks(name, attrs):
+                self.marks[element] = marks
             inside += name in ARTICLE
-        self._leave()
-
-    def _leave(self) -> None:
-        """Marked elements leave, but for those that hold the page's article or most of its text."""
-        if not self.marks:
-            return
-        size = self._total([len(t.strip()) for t in self.texts])
-        under = self._under(self.marks)
-        articles = [e for e, name in enumerate(self.names) if name in ARTICLE and size[e]]
-        if not any(not under[e] for e in articles):
-            held = set()
-            for e in articles:
-                while e >= 0 and e not in held:
-                    held.add(e)
-                    e = self.parents[e]
-            most = {e for e, marks in self.marks.items() if 2 * size[e] > size[0] and not marks & COMMENTS}
-            self.marks = {e: marks for e, marks in self.marks.items() if e not in held and e not in most}
-        else:
-            largest = max(articles, key=lambda e: size[e])
-            while 2 * size[largest] > size[0] and largest >= 0:
-                self.marks.pop(largest, None)
-                largest = self.parents[largest]
-        under = self._under(self.marks)
-        keep = [o < 0 or not under[o] for o in self.owners]
-        self.texts, self.owners, self.paths, self.links = ([x for x, k in zip(xs, keep, strict=True) if k] for xs in (self.texts, self.owners, self.paths, self.links))
+
+    def _vetoed(self, size: np.ndarray) -> np.ndarray:
+        """Whether each element is in one that is left out. Marked elements that hold the page's article or
+        most of its text aren't; ``size``: text in each element that isn't apart."""
+        apart = self._under(self.apart)
+        marks = dict(self.marks)
+        if marks:
+            under = self._under(marks)
+            articles = [e for e, name in enumerate(self.names) if name in ARTICLE and size[e] and not apart[e]]
+            if not any(not under[e] for e in articles):
+                held = set()
+                for e in articles:
+                    while e >= 0 and e not in held:
+                        held.add(e)
+                        e = self.parents[e]
+                marks = {e: x for e, x in marks.items() if e not in held and (2 * size[e] <= size[0] or x & COMMENTS)}
+            else:
+                largest = max(articles, key=lambda e: size[e])
+                while largest >= 0 and 2 * size[largest] > size[0]:
+                    marks.pop(largest, None)
+                    largest = self.parents[largest]
+        return apart | self._under(marks)
 
     def _under(self, tops) -> np.ndarray:
         """Whether each element is one of ``tops`` or in one."""
         out = np.zeros(len(self.names), bool)
-        for e in range(len(self.names)):  # parents come before children
-            out[e] = e in tops or e > 0 and out[self.parents[e]]
+        if tops:
+            for e in range(len(self.names)):  # parents come before children
+                out[e] = e in tops or e > 0 and out[self.parents[e]]
         return out
 
-    def _total(self, sizes: list[float]) -> np.ndarray:
+    def _total(self, sizes) -> np.ndarray:
         """For each element the sum over its text nodes."""
         out = np.zeros(len(self.names))
         for o, x in zip(self.owners, sizes, strict=True):
@@ -202,45 +221,45 @@ class Page:
         return out
 
     def article(self) -> str:
-        kept = [i for i, o in enumerate(self.owners) if o >= 0 and not self.texts[i].isspace()]
-        if not kept:
+        owners = np.array(self.owners, np.int64)
+        full = np.array([o >= 0 and not t.isspace() for o, t in zip(self.owners, self.texts, strict=True)], bool)
+        if not full.any():
             return ""
-        length = np.array([len(self.texts[i].strip()) for i in kept], float)
-        marks = np.array([len(_PUNCTUATION.findall(self.texts[i])) for i in kept], float)
-        names, which = np.unique([self.paths[i] for i in kept], return_inverse=True)
-        count = np.bincount(which)
-        by_length, by_marks = np.bincount(which, length) / count, np.bincount(which, marks) / count
-        fused = np.sqrt(_smooth(by_length[which]) * (_smooth(by_marks[which]) + 0.1))
-        in_article = np.array([any(t in ARTICLE for t in p.split("/")) for p in names])
-        ratio = np.bincount(which, fused) / count * np.where(in_article, 4.0, 1.0)
-        chosen = (ratio >= CUT * ratio[which].std()) | (ratio == ratio.max())
-        mass = np.zeros(len(self.names))
-        for i, size, path in zip(kept, length, which, strict=True):
-            if chosen[path]:
-                mass[self.owners[i]] += size * (4.0 if in_article[path] else 1.0)
+        length = np.where(full, [len(t.strip()) for t in self.texts], 0).astype(float)
+        vetoed = self._vetoed(self._total(length * ~self._under(self.apart)[owners]))[owners] & (owners >= 0)
+        weak = ~chosen_paths(np.array(self.paths), full, length, np.array([len(_PUNCTUATION.findall(t)) for t in self.texts], float))
+        selected = full & ~weak & ~vetoed
+        if not selected.any():
+            selected = full & ~vetoed
+        mass = self._total(length * selected)
+        box = 0
         children: dict[int, list[int]] = {}
-        for e in range(len(self.names) - 1, 0, -1):  # parents come before children
-            mass[self.parents[e]] += mass[e]
+        for e in range(1, len(self.names)):
             children.setdefault(self.parents[e], []).append(e)
-        box = 0
         while self.names[box] not in ARTICLE:
             down = [e for e in children.get(box, []) if self.names[e] in SECTIONS and mass[e] >= HOLDS * mass[0]]
             if not down:
                 break
             box = max(down, key=lambda e: mass[e])
-        within = self._under({box})
-        selected, size = [0.0] * len(self.texts), [0.0] * len(self.texts)
-        for i, x, path in zip(kept, length, which, strict=True):
-            size[i], selected[i] = x, x * chosen[path]
-        # Selected nodes outside the container belong to the result, with their blocks.
-        outside = [i for i in kept if selected[i] and not within[self.owners[i]]]
-        beside, alone = within, set(outside)
-        if outside:
-            around = {box}
-            e = box
+        within = self._under({box})[owners] & (owners >= 0)
+        keep = selected.copy()
+        if self.names[box] in ARTICLE:
+            keep |= within & ~vetoed
+        else:
+            places = np.flatnonzero(selected & within)
+            first, last = (places[0], places[-1]) if len(places) else (0, -1)
+            while first > 0 and (not full[first - 1] or within[first - 1] and not vetoed[first - 1] and self._heading(self.owners[first - 1])):
+                first -= 1
+            between = np.zeros(len(owners), bool)
+            between[first : last + 1] = True
+            keep |= between & within & ~vetoed & ~(weak & np.array(self.links))
+        outside = np.flatnonzero(selected & ~within)
+        if len(outside):
+            # Selected nodes outside of the container belong to the result, with their blocks.
+            around, e = {box}, box
             while e > 0:
                 around.add(e := self.parents[e])
-            total, taken = self._total(size), self._total(selected)
+            total, taken = self._total(length * ~vetoed), mass
             tops = set()
             for i in outside:
                 top, e = None, self.owners[i]
@@ -248,14 +267,26 @@ class Page:
                     top, e = e, self.parents[e]
                 if top is not None:
                     tops.add(top)
-            beside = within | self._under(tops)
-        weak = {names[k] for k in range(len(names)) if not chosen[k]}
-        pure = self.names[box] in ARTICLE
-        out = [
-            t for i, (t, o, p, a) in enumerate(zip(self.texts, self.owners, self.paths, self.links, strict=True))
-            if o < 0 or i in alone or beside[o] and not (a and p in weak and not (pure and within[o]))
-        ]
-        return " ".join(entities.unescape("".join(out)).split())
+            keep |= self._under(tops)[owners] & (owners >= 0) & ~vetoed & ~(weak & np.array(self.links))
+        return " ".join(entities.unescape("".join(t for t, k, o in zip(self.texts, keep, self.owners, strict=True) if k or o < 0)).split())
+
+    def _heading(self, e: int) -> bool:
+        while e > 0 and self.names[e] in INLINE:
+            e = self.parents[e]
+        return self.names[e] in HEADINGS
+
+
+def chosen_paths(paths: np.ndarray, full: np.ndarray, length: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Whether each node's path is above the cut: mean length and mean punctuation of the path's nodes,
+    smoothed along the page and fused. Only ``full`` nodes, those with text, count and are chosen."""
+    _, which = np.unique(paths[full], return_inverse=True)
+    count = np.bincount(which)
+    by_length, by_marks = np.bincount(which, length[full]) / count, np.bincount(which, marks[full]) / count
+    fused = np.sqrt(_smooth(by_length[which]) * (_smooth(by_marks[which]) + 0.1))
+    ratio = np.bincount(which, fused) / count
+    out = np.zeros(len(paths), bool)
+    out[full] = ((ratio >= CUT * ratio[which].std()) | (ratio == ratio.max()))[which]
+    return out
 
 
 def _smooth(x: np.ndarray) -> np.ndarray:

@@ -219,6 +219,42 @@ def test_main_text_outside_of_the_container():
     assert html_extract.extract(f"<div>{ten}</div><div><a>x</a> <a>y</a></div>") == body
 
 
+def test_main_text_by_ratios_alone(monkeypatch):
+    """Pages of div elements without classes: paths' ratios tell the article from menu, teasers and footer."""
+    p = "A paragraph of the article, with marks; and more of it. It goes on, and on, to a hundred characters."
+    menu = "".join(f'<a href="/{i}">Entry {i}</a> ' for i in range(12))
+    page = f"<div><div>{menu}</div><div><h1>Title</h1>{'<p>' + p + '</p>'}{'<p>' + p + '</p>'}<p>Short.</p>{'<p>' + p + '</p>'}</div><div><div><a>More</a></div><div><a>Top</a></div></div><div>Imprint</div></div>"
+    expected = f"Title {p} {p} Short. {p}"
+    assert html_extract.extract(page) == expected
+    monkeypatch.setattr(html_extract, "chosen_paths", lambda paths, full, length, marks: full.copy())
+    assert html_extract.extract(page) != expected
+
+
+def test_main_text_keeps_article_parts_with_marked_words():
+    text = "Long text, with marks; and more. And more text, more."
+    for part in ('<div class="share-price-table">{}</div>', '<p id="reply-of-king">{}</p>', '<p class="ad-hoc-query">{}</p>', '<ul class="menu-items-of-the-inn"><li>{}</li></ul>'):
+        for outer in ("article", "div"):
+            assert html_extract.extract(f"<{outer}><p>{text}</p>{part.format(text)}<p>{text}</p></{outer}>") == f"{text} {text} {text}"
+
+
+def test_main_text_of_deep_pages():
+    """Memory grows with the number of elements, not with their depth; so does time."""
+    import time
+    import tracemalloc
+
+    size = {}
+    for n in (25_000, 100_000):
+        page = "<div>" * n + "<p>Deep text, with marks; and more.</p>" + "</x></b>" * n
+        tracemalloc.start()
+        began = time.time()
+        assert html_extract.extract(page) == "Deep text, with marks; and more."
+        size[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert time.time() - began < 60
+    assert size[100_000] < 6 * size[25_000]
+    assert size[100_000] < 400e6
+
+
 def test_main_text_of_the_table(spark):
     """The table's articles are in <article>; a cut with plain tools gives the same text."""
     import html
