@@ -34,6 +34,9 @@ class Kind:
 
 #: Code points on either side of a span that are searched for context words.
 NEAR = 48
+#: Matches whose places are added up in one go; and code points of a block, into which texts of more than twice
+#: as many bytes are cut, so that the surroundings of a span are found without counting from the text's start.
+RUN, PIECE = 512, 4096
 #: A span of a kind with checksum or fixed form starts at 60, one without at 40; a context word adds 35.
 SURE, OPEN, NEARBY = 60, 40, 35
 #: Kinds that the method adds need so much.
@@ -90,39 +93,68 @@ def _confirmed(kind: str, match: Column) -> Column:
     }[kind]
 
 
-def _spans(text: Column, k: Kind) -> Column:
+def _empty(kind: str) -> Column:
+    return F.expr(f"cast(array() as array<{kind}>)")
+
+
+def _placed(pairs: Column, takes: int | None) -> Column:
+    """array<struct<start, stop, m>> from ``pairs`` (gap: characters since the match before, m). Places are
+    added up within runs of ``RUN`` matches and then over the runs, as appending to one long array would
+    copy it each time."""
+    step = lambda x: F.lit(takes) if takes else F.length(x["m"])
+    start = lambda kind: F.struct(F.lit(0).alias("at"), _empty(kind).alias("out"))
+    one = "struct<start:int,stop:int,m:string>"
+
+    def within(run: Column) -> Column:
+        return F.aggregate(
+            F.slice(pairs, run * RUN + 1, RUN), start(one),
+            lambda a, x: F.struct((a["at"] + x["gap"] + step(x)).alias("at"), F.array_append(a["out"], F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + F.length(x["m"])).alias("stop"), x["m"].alias("m"))).alias("out")),
+        )
+
+    moved = lambda a, r: F.transform(r["out"], lambda s: F.struct((a["at"] + s["start"]).alias("start"), (a["at"] + s["stop"]).alias("stop"), s["m"].alias("m")))
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / RUN).cast("int")), within)
+    joined = F.aggregate(runs, start(f"array<{one}>"), lambda a, r: F.struct((a["at"] + r["at"]).alias("at"), F.array_append(a["out"], moved(a, r)).alias("out")), lambda a: F.flatten(a["out"]))
+    return F.when(F.size(pairs) > 0, joined).otherwise(_empty(one))
+
+
+def _pieces(text: Column) -> Column:
+    """A long text in blocks of ``PIECE`` code points; null for others, whose start is near enough."""
+    return F.when(F.octet_length(text) > 2 * PIECE, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+
+
+def _spans(text: Column, pieces: Column, k: Kind) -> Column:
     """array<struct<kind, start, end, score>> of the confirmed spans of one kind, in order."""
     matches = F.regexp_extract_all(text, F.lit(k.pattern), F.lit(1 if k.takes else 0))
     gaps = F.split(text, k.pattern, -1)
-    # The last gap has no match and ends as a span without text, which the filter below drops.
-    pairs = F.zip_with(matches, gaps, lambda m, g: F.struct(F.length(g).alias("gap"), m.alias("m")))
-    none = F.expr("cast(array() as array<struct<start:int,stop:int,m:string>>)")
-    placed = F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + (F.lit(k.takes) if k.takes else F.length(x["m"]))).alias("at"),
-            F.array_append(a["out"], F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + F.length(x["m"])).alias("stop"), x["m"].alias("m"))).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
-    near = lambda s: F.lower(F.concat(
-        F.substr(text, F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR))), F.lit(" "), F.substr(text, s["stop"] + 1, F.lit(NEAR))))
+    # The last gap has no match.
+    placed = _placed(F.filter(F.zip_with(matches, gaps, lambda m, g: F.struct(F.length(g).alias("gap"), m.alias("m"))), lambda x: x["m"].isNotNull()), k.takes)
+
+    def part(at: Column, count: Column) -> Column:
+        """``count`` characters, ``NEAR`` at most, from place ``at`` (from 0)."""
+        block = F.floor(at / PIECE).cast("int")
+        two = F.concat(F.coalesce(F.get(pieces, block), F.lit("")), F.coalesce(F.get(pieces, block + 1), F.lit("")))
+        return F.when(pieces.isNull(), F.substr(text, at + 1, count)).otherwise(F.substr(two, at - block * PIECE + 1, count))
+
+    near = lambda s: F.lower(F.concat(part(F.greatest(s["start"] - NEAR, F.lit(0)), F.least(s["start"], F.lit(NEAR))), F.lit(" "), part(s["stop"], F.lit(NEAR))))
     points = lambda s: F.lit(OPEN if k.name in ("ssn", "phone") else SURE) + F.when(near(s).rlike(f"(?:^|[^a-z])(?:{k.context})"), NEARBY).otherwise(0)
     found = F.transform(
-        F.filter(placed, lambda s: s["m"].isNotNull() & _confirmed(k.name, s["m"])),
+        F.filter(placed, lambda s: _confirmed(k.name, s["m"])),
         lambda s: F.struct(F.lit(k.name).alias("kind"), s["start"].alias("start"), s["stop"].alias("end"), points(s).alias("score")),
     )
     if not k.base:
         found = F.filter(found, lambda s: s["score"] >= NEEDED)
     gate = F.contains(text, F.lit(k.gate)) if k.gate else text.rlike("[0-9]{2}|[0-9][ -][0-9]")
-    return F.when(gate, found).otherwise(F.expr("cast(array() as array<struct<kind:string,start:int,end:int,score:int>>)"))
+    return F.when(gate, found).otherwise(_empty("struct<kind:string,start:int,end:int,score:int>"))
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``pii``: array<struct<kind, start, end, score>>, by kind in listed order, then start;
-    code points, end exclusive. Null text has none. Any other columns are kept as they are."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn("pii", F.concat(*[_spans(whole, k) for k in KINDS]))
+def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
+    """``docs`` with ``into``: array<struct<kind, start, end, score>>, by kind in listed order, then start;
+    code points, end exclusive. Null and empty texts have none. All columns stay as they are, but one that
+    is named ``into``, which is replaced, as ``withColumn`` does. An empty table gives an empty result."""
+    others = [c for c in docs.columns if c.lower() != into.lower()]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("whole"))
+    cut = rows.withColumn("pieces", _pieces(F.col("whole")))
+    return cut.select("row.*", F.concat(*[_spans(F.col("whole"), F.col("pieces"), k) for k in KINDS]).alias(into))
 
 
 def pii_report(docs: DataFrame) -> DataFrame:
@@ -164,13 +196,13 @@ def sql() -> str:
         found = f"list_filter({placed}, lambda x: {valid[k.name]})"
         near = f"lower(substr(t, greatest(x.s - {NEAR}, 0) + 1, least(x.s, {NEAR})) || ' ' || substr(t, x.e + 1, {NEAR}))"
         score = f"{OPEN if k.name == 'phone' else SURE} + CASE WHEN regexp_matches({near}, '(?:^|[^a-z])(?:{k.context})') THEN {NEARBY} ELSE 0 END"
-        parts.append(f"SELECT doc_id, t, list_transform({found}, lambda x: {{'line': x.kind || ':' || x.s || ':' || x.e, 'score': CAST({score} AS VARCHAR)}}) AS f FROM (SELECT doc_id, t, regexp_extract_all(t, '{k.plain}') AS m, string_split_regex(t, '{k.plain}') AS g FROM d)")
+        parts.append(f"SELECT place, doc_id, t, list_transform({found}, lambda x: {{'line': x.kind || ':' || x.s || ':' || x.e, 'score': CAST({score} AS VARCHAR)}}) AS f FROM (SELECT place, doc_id, t, regexp_extract_all(t, '{k.plain}') AS m, string_split_regex(t, '{k.plain}') AS g FROM d)")
     names = [k.name for k in KINDS if k.base]
     with_ = ", ".join(f"k{i} AS ({p})" for i, p in enumerate(parts))
-    joined = " JOIN ".join(["k0", *(f"k{i} USING (doc_id)" for i in range(1, len(parts)))])
+    joined = " JOIN ".join(["k0", *(f"k{i} USING (place)" for i in range(1, len(parts)))])
     every = "list_concat(list_concat(k0.f, k1.f), list_concat(k2.f, k3.f))"
     lines = f"array_to_string(list_transform({every}, lambda x: x.line), ',')"
     return (
-        f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {with_} SELECT doc_id, " + ", ".join(f"CAST(len(k{i}.f) AS BIGINT) AS n_{n}" for i, n in enumerate(names))
+        f"WITH d AS (SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS t FROM documents), {with_} SELECT k0.doc_id, " + ", ".join(f"CAST(len(k{i}.f) AS BIGINT) AS n_{n}" for i, n in enumerate(names))
         + f", sha256({lines}) AS base_sha256, {lines} AS spans, array_to_string(list_transform({every}, lambda x: x.score), ',') AS scores FROM {joined}"
     )
