@@ -336,7 +336,8 @@ SPANS = "array<struct<family:string,start:int,end:int,probability:double,similar
 
 
 def scan(docs: DataFrame, text: str = "text", into: str = "licenses") -> DataFrame:
-    """``docs`` with the licence paragraphs of ``text`` in ``into``; null text has none; other columns stay."""
+    """``docs`` with the licence paragraphs of ``text`` in ``into``; null and empty texts have none. A
+    column that is named ``into`` is replaced, all others stay. An empty table gives an empty result."""
     sent = docs.sparkSession.sparkContext.broadcast((classifier(), _templates()))  # of fixed size
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -13,10 +13,12 @@ parameter; nothing is trained.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,12 @@ class Vocabulary:
     scores: list[float]
     kinds: str
 
+    @cached_property
+    def digest(self) -> str:
+        """Of all pieces, scores and kinds: vocabularies that differ in one of them are told apart."""
+        whole = "\x00".join(self.pieces).encode() + np.array(self.scores, "<f8").tobytes() + self.kinds.encode()
+        return hashlib.sha256(whole).hexdigest()
+
 
 def read_vocabulary(model_file: str) -> Vocabulary:
     import sentencepiece
@@ -223,20 +231,21 @@ def _shared(docs: DataFrame, model_file: str):
     return docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_file))
 
 
-_BUILT: dict[int, Unigram] = {}
+_BUILT: dict[str, Unigram] = {}
 
 
 def _tokenizer(sent) -> Unigram:
     """One a Python worker: workers outlive tasks, so the trie is built once in each."""
     v = sent.value
-    key = hash((len(v.pieces), v.kinds, v.pieces[-1], v.scores[len(v.scores) // 2]))
-    if key not in _BUILT:
-        _BUILT[key] = Unigram(v)
-    return _BUILT[key]
+    if v.digest not in _BUILT:
+        _BUILT[v.digest] = Unigram(v)
+    return _BUILT[v.digest]
 
 
 def encode(docs: DataFrame, model_file: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """``docs`` with ``into``: array<int>, the ids of ``text``; null text has null ids. Other columns stay."""
+    """``docs`` with ``into``: array<int>, the ids of ``text``; null text has null ids, the empty
+    text none. A column that is named ``into`` is replaced, all others stay. An empty table gives an empty
+    result."""
     sent = _shared(docs, model_file)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -248,7 +257,8 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", into: str = "id
 
 
 def decode(docs: DataFrame, model_file: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """``docs`` with ``into``: the text of ``ids``; null ids have null text."""
+    """``docs`` with ``into``: the text of ``ids``; null ids have null text. A column that is named
+    ``into`` is replaced, all others stay. An empty table gives an empty result."""
     sent = _shared(docs, model_file)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -270,8 +280,6 @@ def token_report(docs: DataFrame, model_file: str) -> DataFrame:
     sent = _shared(docs, model_file)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
         t = _tokenizer(sent)
         is_byte = np.array([k == "b" for k in t.v.kinds])
         for pdf in batches:

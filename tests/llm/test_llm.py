@@ -417,6 +417,23 @@ def test_pii_base(spark):
     assert pii.pii_report(docs(spark, ODD)).count() == len(ODD)
 
 
+def test_pii_in_time_of_the_texts_length(spark):
+    """A text twice as long takes about twice the time; places and surroundings hold in long texts."""
+    import time
+
+    mail = lambda n: " ".join(f"write to a{i}@b.co or é 10.0.{i % 256}.1," for i in range(n))
+    took = {}
+    for n in (4_000, 8_000, 16_000):
+        df = docs(spark, [(1, mail(n), "s")])
+        pii.find_pii(df).select(F.size("pii")).collect()
+        began = time.time()
+        got = pii.find_pii(df).first()["pii"]
+        took[n] = time.time() - began
+        assert [(x["kind"], x["start"], x["end"]) for x in got] == pii_brute(mail(n))
+        assert {x["score"] for x in got if x["kind"] == "email"} == {95}
+    assert took[16_000] < 3.2 * took[8_000] + 1
+
+
 def test_pii_added(spark):
     text = "My IBAN is DE89 3704 0044 0532 0130 00 or DE89 3704 0044 0532 0130 01, SSN 123-45-6789."
     far = "Nothing here says what it is: the part number is 123-45-6789."
@@ -479,6 +496,51 @@ def test_unigram_words_are_enough():
         assert u.decode(ids) == text
 
 
+def test_vocabularies_are_told_apart():
+    """Two vocabularies of equal size, kinds, last piece and middle score in one worker."""
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    make = lambda *names: unigram.Vocabulary(["<unk>", *names], [0.0, -1.0, -2.0, -3.0], "cnnn")
+    one, two = unigram._tokenizer(Sent(make("a", "b", "c"))), unigram._tokenizer(Sent(make("b", "a", "c")))
+    assert one is not two
+    assert one is unigram._tokenizer(Sent(make("a", "b", "c")))
+
+
+def test_unigram_of_the_table(spark):
+    """The whole vocabulary over the table against another implementation: plain dynamic programming over a
+    dictionary of pieces, on whole texts. Ids may differ only where scores are equal."""
+    v = unigram.read_vocabulary(MODEL)
+    u = unigram.Unigram(v)
+    pieces = {p: v.scores[i] for i, (p, k) in enumerate(zip(v.pieces, v.kinds, strict=True)) if k == "n"}
+    longest = max(map(len, pieces))
+    for r in table(spark, "documents").orderBy("doc_id").collect():
+        text = unigram.MARK + r["text"].replace(" ", unigram.MARK)
+        best = [0.0] + [-math.inf] * len(text)
+        for i in range(len(text)):
+            for j in range(i + 1, min(len(text), i + longest) + 1):
+                s = pieces.get(text[i:j])
+                if s is not None and best[i] + s > best[j]:
+                    best[j] = best[i] + s
+            if text[i] not in pieces and best[i] + u.floor > best[i + 1]:
+                best[i + 1] = best[i] + u.floor
+        ids = u.encode(r["text"])
+        got, at = 0.0, 0
+        raw = [v.pieces[i] if v.kinds[i] == "n" else None for i in ids]
+        while at < len(raw):
+            if raw[at] is None:  # the bytes of one character
+                lead = int(v.pieces[ids[at]][3:5], 16)
+                at += 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+                got += u.floor
+            else:
+                got += v.scores[ids[at]]
+                at += 1
+        assert got == pytest.approx(best[-1], rel=1e-9)
+        assert u.decode(ids) == r["text"]
+
+
 def test_tokens_odd(spark):
     got = unigram.token_report(docs(spark, ODD), MODEL).collect()
     assert len(got) == len(ODD)
