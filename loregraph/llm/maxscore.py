@@ -2,14 +2,15 @@
 
 A dimension with a sign is a term: the postings of (t, +) are the vectors whose component t is positive,
 those of (t, -) where it is negative. Of each dimension one term of a query adds to a score, at most the
-query's component times the largest of the term's postings; the other term takes away, so its bound is 0.
-
-A shard of vectors holds its postings by term, in order of vec_id. A query goes through them in steps of
-rising vec_id. Its terms in rising order of bound are non-essential as long as their bounds sum to no more
-than its k-th score so far: a vector in none of the other, essential postings can't enter the result. The
-essential postings of a step are traversed and their products summed by vector; then the non-essential
-terms, the one with the highest bound first, and the terms that take away are probed, for those vectors
-alone that could still enter. The lists of k of all shards are merged.
+query's component times the largest of the term's postings; the other term only takes away.
+
+A shard of vectors holds its postings by term, in order of vec_id; the two lists of a dimension that most
+vectors are in are laid out by place once they're loaded. A query goes through a shard in steps of rising
+vec_id. Its dimensions in rising order of bound are non-essential as long as their bounds sum to no more
+than its k-th score so far: a vector that no essential posting adds to can't enter the result. The essential
+postings of a step are traversed and their products summed by vector; then the non-essential dimensions, the
+one with the highest bound first, are probed, for those vectors alone that could still enter. The lists of k
+of all shards are merged.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from ._util import shards
 
 #: Vectors of a shard, queries of a block, vectors of a query's first step, how much larger each next step is,
-#: and dimensions that are probed between two cuts.
-SHARD, BLOCK, FIRST, GROWS, PROBE = 4096, 1024, 128, 4, 8
+#: dimensions that are probed between two cuts, and the share of vectors (one in so many) from which a
+#: dimension's postings are laid out by place.
+SHARD, BLOCK, FIRST, GROWS, PROBE, FULL = 4096, 1024, 128, 4, 8, 4
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -63,11 +65,59 @@ class Shard:
             steps.append(min(steps[-1] + size, len(self.ids)))
             size *= GROWS
         self.steps = steps
+        self.most = np.array(self.largest, object).reshape(-1, 2)
+        self.wide = self.most.astype(np.float64)
         self.begins = np.array([a + np.searchsorted(self.where[a:b], steps) for a, b in spans], np.int64).reshape(len(spans), len(steps))
-        # The same components by dimension and place, in which candidates are probed.
-        self.forward = np.zeros((len(spans) // 2, len(self.ids)), np.int64)
-        for term, (a, b) in enumerate(spans):
-            self.forward[term // 2, self.where[a:b]] = self.values[a:b]
+        # Postings of each dimension in each step.
+        self.held = (self.begins[:, 1:] - self.begins[:, :-1]).reshape(-1, 2, len(steps) - 1).sum(axis=1)
+        # Dimensions with many postings by place: row[t] is that of dimension t, -1 for one with few.
+        many = [t for t in range(len(spans) // 2) if FULL * (self.start[2 * t + 2] - self.start[2 * t]) >= len(self.ids)]
+        self.row = np.full(len(spans) // 2, -1)
+        self.row[many] = np.arange(len(many))
+        self.full = np.zeros((len(many), len(self.ids)), np.int64)
+        for t in many:
+            a, b = self.start[2 * t], self.start[2 * t + 2]
+            self.full[self.row[t], self.where[a:b]] = self.values[a:b]
+        self.kinds: dict[type, np.ndarray] = {}
+
+    def _rows(self, kind: type) -> np.ndarray:
+        if kind not in self.kinds:
+            self.kinds[kind] = self.full.astype(kind)
+        return self.kinds[kind]
+
+    def bounds(self, q: np.ndarray, kind: type) -> tuple[np.ndarray, float]:
+        """What each dimension can add to a score of ``q``, and the most that all can change it."""
+        size = np.abs(q.astype(kind))
+        largest = (self.wide if kind is np.float64 else self.most)[: len(q)]
+        return size * np.where(q < 0, largest[:, 1], largest[:, 0]), float((size * largest.max(axis=1, initial=0)).sum())
+
+    def summed(self, dims: np.ndarray, weight: np.ndarray, step: int, kind: type) -> np.ndarray:
+        """Products of all postings of these dimensions in a step, summed by vector."""
+        at, end = self.steps[step], self.steps[step + 1]
+        rows = self.row[dims]
+        laid = rows >= 0
+        out = weight[laid] @ self._rows(kind)[rows[laid], at:end] if laid.any() else np.zeros(end - at, kind)
+        for t, x in zip(dims[~laid], weight[~laid], strict=True):
+            for term in (2 * t, 2 * t + 1):
+                a, b = self.begins[term, step], self.begins[term, step + 1]
+                out[self.where[a:b] - at] += self.values[a:b].astype(kind) * x  # a term has a vector once
+        return out
+
+    def probed(self, dims: np.ndarray, weight: np.ndarray, step: int, who: np.ndarray, kind: type) -> np.ndarray:
+        """The same for the places ``who`` of the step alone."""
+        at = self.steps[step]
+        rows = self.row[dims]
+        laid = rows >= 0
+        out = weight[laid] @ self._rows(kind)[rows[laid][:, None], at + who] if laid.any() else np.zeros(len(who), kind)
+        for t, x in zip(dims[~laid], weight[~laid], strict=True):
+            for term in (2 * t, 2 * t + 1):
+                a, b = self.begins[term, step], self.begins[term, step + 1]
+                places = self.where[a:b] - at
+                found = np.searchsorted(places, who)
+                hit = found < len(places)
+                hit[hit] = places[found[hit]] == who[hit]
+                out[hit] += self.values[a + found[hit]].astype(kind) * x
+        return out
 
     @classmethod
     def of(cls, ids: np.ndarray, vectors: list[np.ndarray]) -> Shard:
@@ -95,47 +145,45 @@ def search(shard: Shard, query: np.ndarray, own: int, k: int, work: Work | None
     """(vec_id, score) of the ``k`` best vectors but those with id ``own``, ties to the smaller id. Sums are
     exact: float64 integers below 2**53, else Python's integers."""
     work = Work() if work is None else work
-    dims = min(len(query), len(shard.forward))
-    q = [int(x) for x in query[:dims]]
-    adds = sorted((abs(x) * shard.largest[2 * t + (x < 0)], t) for t, x in enumerate(q) if x)
+    dims = min(len(query), len(shard.row))
+    q = np.asarray(query[:dims], np.int64)
+    kind: type = np.float64
+    bounds, most = shard.bounds(q, kind)
+    if most >= 2.0**52:
+        kind = object
+        bounds, _ = shard.bounds(q, kind)
+    rising = np.flatnonzero(q)
+    dims_up = rising[np.argsort(bounds[rising], kind="stable")]
+    weight = q[dims_up].astype(kind)
     # What the terms up to each one can add together.
-    upto = [0, *np.cumsum(np.array([b for b, _ in adds], object))]
-    big = sum(abs(x) * max(shard.largest[2 * t], shard.largest[2 * t + 1]) for t, x in enumerate(q)) >= 1 << 53
-    kind = object if big else np.float64
-    by_bound = np.array([t for _, t in adds], int)
-    weight = np.array([q[t] for t in by_bound], kind)
+    ceilings = np.cumsum(bounds[dims_up])
     best, best_ids, level = np.zeros(0, kind), np.zeros(0, np.int64), None
-    for k_step, (at, end) in enumerate(zip(shard.steps[:-1], shard.steps[1:], strict=True)):
-        cut = 0 if level is None else int(np.searchsorted(np.array(upto[1:], kind), level, side="right"))
-        score = np.zeros(end - at, kind)
-        seen = np.zeros(end - at, bool)
-        if level is None or level < 0:
-            seen[:] = True  # a vector in no posting at all scores up to 0 and may still enter
-        for t, x in zip(by_bound[cut:], weight[cut:], strict=True):
-            term = 2 * t + (x < 0)
-            a, b = shard.begins[term, k_step], shard.begins[term, k_step + 1]
-            places = shard.where[a:b] - at
-            score[places] += shard.values[a:b].astype(kind, copy=False) * x  # a term has a vector once
-            seen[places] = True
-            work.traversed += len(places)
-        seen[shard.ids[at:end] == own] = False
-        who = np.flatnonzero(seen)
-        who = who if level is None else who[score[who] + upto[cut] > level]
+    for step, (at, end) in enumerate(zip(shard.steps[:-1], shard.steps[1:], strict=True)):
+        # While the k-th score is negative, a vector in no posting may enter: nothing is non-essential.
+        cut = 0 if level is None or level < 0 else int(np.searchsorted(ceilings, level, side="right"))
+        score = shard.summed(dims_up[cut:], weight[cut:], step, kind)
+        work.traversed += int(shard.held[dims_up[cut:], step].sum())
+        fits = shard.ids[at:end] != own
+        if level is not None:
+            # What no essential posting adds to is left out here: the non-essential sum is no more than the level.
+            fits &= score + (ceilings[cut - 1] if cut else 0) > level
+        who = np.flatnonzero(fits)
+        score = score[who]
         work.candidates += len(who)
-        # Non-essential terms in falling bound with what their dimensions take away, then what the essential ones' take.
-        stops = [*range(cut, 0, -PROBE), 0]
-        turns = [(slice(lo, hi), upto[lo], False) for hi, lo in zip(stops[:-1], stops[1:], strict=True)]
-        turns += [(slice(lo, min(lo + PROBE, len(q))), 0, True) for lo in range(cut, len(by_bound), PROBE)]
-        for part, left, takes in turns:
+        for hi in range(cut, 0, -PROBE):
             if not len(who):
                 break
-            products = shard.forward[by_bound[part][:, None], at + who].astype(kind, copy=False) * weight[part][:, None]
-            score[who] += (np.minimum(products, 0) if takes else products).sum(axis=0)
-            work.probed += products.size
-            if level is not None:
-                who = who[score[who] + left > level]
+            lo = max(0, hi - PROBE)
+            score = score + shard.probed(dims_up[lo:hi], weight[lo:hi], step, who, kind)
+            work.probed += len(who) * (hi - lo)
+            alive = score + (ceilings[lo - 1] if lo else 0) > level
+            who, score = who[alive], score[alive]
         # Ids rise, so an equal score in a later step can't enter.
-        all_scores, all_ids = np.concatenate([best, score[who]]), np.concatenate([best_ids, shard.ids[at:end][who]])
+        all_scores, all_ids = np.concatenate([best, score]), np.concatenate([best_ids, shard.ids[at:end][who]])
+        if len(all_scores) > 4 * k:
+            kth = np.partition(all_scores, len(all_scores) - k)[len(all_scores) - k]
+            near = all_scores >= kth
+            all_scores, all_ids = all_scores[near], all_ids[near]
         order = np.lexsort((all_ids, -all_scores))[:k]
         best, best_ids = all_scores[order], all_ids[order]
         level = best[-1] if len(best) == k else None
