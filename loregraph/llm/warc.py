@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._util import checkpoint, new_folder, ranked, table
@@ -164,15 +164,18 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     return checkpoint(plan(pages, least).mapInPandas(write, "name string, records long"))
 
 
-def read_archives(spark: SparkSession, folder: str, listed: DataFrame) -> DataFrame:
-    """Records of the listed archives: page_id, payload_bytes, payload_digest, record_type, refers_to,
+def read_archives(folder: str, listed: DataFrame) -> DataFrame:
+    """Records of the listed archives, each opened where its name is: page_id, payload_bytes, payload_digest, record_type, refers_to,
     url, payload. Each response's payload is held against its digest."""
-    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
-    named = files.withColumn("name", F.substring_index("path", "/", -1)).join(listed, "name", "left_semi")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
         for pdf in batches:
-            for content in pdf["content"]:
+            for name in pdf["name"]:
+                with store.open_input_stream(f"{root}/{name}", compression=None) as source:
+                    content = source.read()
                 rows = [
                     (_page(r["WARC-Record-ID"]), r["payload_bytes"], r["WARC-Payload-Digest"][5:], r["WARC-Type"], _page(r.get("WARC-Refers-To")), r["WARC-Target-URI"], r["payload"])
                     for r in parse(unpack(content))
@@ -180,7 +183,7 @@ def read_archives(spark: SparkSession, folder: str, listed: DataFrame) -> DataFr
                 out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return named.select("content").mapInPandas(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    return listed.select("name").mapInPandas(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
 
 
 def warc_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -198,7 +201,7 @@ def warc_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     listed = write_archives(pages, folder, least)
     if not listed.limit(1).count():
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    return read_archives(spark, folder, listed).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_archives(folder, listed).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 #: Base32 from hexadecimal: groups of 40 bits are ten hexadecimal figures and eight letters.
