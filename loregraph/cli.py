@@ -53,7 +53,10 @@ def main(argv: list[str] | None = None) -> int:
             stats.show(truncate=False)
         if a.execute:
             root = a.corpus if "://" in a.corpus else f"file://{a.corpus}"
-            print(sinks.write_files(changed, root).count(), "files written")
+            if a.job == "classify":
+                print(sinks.write_files(changed, root).count(), "files written")
+            else:
+                print(sinks.move_files(changed, root).count(), "files moved")
         return 0
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e):

@@ -1,47 +1,49 @@
-"""Overlapping chunks that end at paragraphs or sentences, as one native expression."""
+"""Overlapping chunks that end at paragraphs or sentences, cut in one walk over each text on Arrow batches.
+
+Where a chunk begins depends on where the one before ended, so a column expression would have to fold over
+the text and cut each window from its start again; the walk takes time in proportion to the text.
+"""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from loregraph import types as T
-from loregraph.functions.text import strip
 
 
-def _last(window: Column, pair: str) -> Column:
-    """0-based place of the last ``pair`` of characters in the window, -1 without."""
-    back = F.locate(pair[::-1], F.reverse(window))
-    return F.when(back == 0, F.lit(-1)).otherwise(F.length(window) - back - 1)
+def cut(text: str, size: int, overlap: int) -> list[str]:
+    """The chunks of one text, see ``chunks``."""
+    if len(text) <= size:
+        return [text]
+    out, at, half = [], 0, size // 2
+    while at + size < len(text):
+        stop = text.rfind("\n\n", at, at + size)
+        if stop <= at + half:
+            stop = text.rfind(". ", at, at + size) + 1
+            if stop - 1 <= at + half:
+                stop = at + size
+        out.append(text[at:stop].strip())
+        at = stop - overlap
+    return [*out, text[at:].strip()]
 
 
 def chunks(text: Column, size: int = T.CHUNK_SIZE, overlap: int = T.CHUNK_OVERLAP) -> Column:
     """array<string>. A text of up to ``size`` characters is one chunk as it is. Else a chunk ends at the
     last blank line in its second half, else after the last sentence end there, else at ``size``; chunks
     are stripped, and each but the first starts ``overlap`` characters before the end of the one before.
-    ``overlap`` above half of ``size`` wouldn't advance and is refused."""
+    ``overlap`` above half of ``size`` wouldn't advance and is refused. Null text has null chunks."""
     half = size // 2
     if overlap > half or overlap < 0 or size < 2:
         raise ValueError(f"overlap must be between 0 and {half}")
-    n = F.length(text)
-
-    def bind(value: Column, then) -> Column:
-        return F.element_at(F.transform(F.array(value), then), 1)
-
-    def ending(window: Column) -> Column:
-        blank, stop = _last(window, "\n\n"), _last(window, ". ")
-        return F.when(blank > half, blank).when(stop > half, stop + 1).otherwise(F.lit(size))
 
-    def step(acc: Column, _: Column) -> Column:
-        at = acc["at"]
-        last = at + size >= n
-        end = F.when(last, n).otherwise(at + bind(F.substr(text, at + 1, F.lit(size)), ending))
-        grown = bind(end, lambda e: F.struct(F.when(e < n, e - overlap).otherwise(e).alias("at"), F.array_append(acc["out"], strip(F.substr(text, at + 1, e - at))).alias("out")))
-        return F.when(at >= n, acc).otherwise(grown)
+    @F.pandas_udf(S.ArrayType(S.StringType()))
+    def walk(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else cut(t, size, overlap))
 
-    most = F.ceil(n / (half - overlap + 1)).cast("int") + 1
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    return F.when(n <= size, F.array(text)).otherwise(F.aggregate(F.sequence(F.lit(1), most), start, step, lambda a: a["out"]))
+    return walk(text)
 
 
 def explode_chunks(chapters: DataFrame, size: int = T.CHUNK_SIZE, overlap: int = T.CHUNK_OVERLAP) -> DataFrame:

@@ -105,6 +105,50 @@ def block_keys(threshold: int):
     return as_longer, as_shorter
 
 
+def partial_keys(threshold: int):
+    """Two Arrow functions: keys of a text as the shorter of a pair and as the longer. Pairs whose partial
+    ratio or ratio reaches the threshold share a key. Of a shorter text of m characters at most
+    2 m (1 - t) / t are lost or gained, in the longer or in a window of it; cut into one piece more, one of
+    its pieces is in the longer text unchanged."""
+
+    def widths(m: int) -> list[int]:
+        k = int(2 * m * (1 - threshold / 100) / (threshold / 100) + 1e-9)
+        size, more = divmod(m, k + 1)
+        return [size + (i < more) for i in range(k + 1)]
+
+    def short(t: str) -> list[str]:
+        out, at = set(), 0
+        for w in widths(len(t)):
+            out.add(t[at : at + w])
+            at += w
+        return sorted(out)
+
+    def long_(t: str) -> list[str]:
+        every = {w for m in range(len(t) + 1) for w in widths(m)}
+        return sorted({t[i : i + w] for w in every for i in range(len(t) - w + 1)})
+
+    @F.pandas_udf(S.ArrayType(S.StringType()))
+    def as_short(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: [] if t is None else short(t))
+
+    @F.pandas_udf(S.ArrayType(S.StringType()))
+    def as_long(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: [] if t is None else long_(t))
+
+    return as_short, as_long
+
+
+def near_keys(left: DataFrame, right: DataFrame, by: str, threshold: int, partial: bool) -> DataFrame:
+    """``left`` (``by``, key) and ``right`` (``by``, key) to (``by``, a, b): pairs of keys, each once, that hold
+    all whose ratio, with ``partial`` also partial ratio, reaches the threshold, and not many more."""
+    small, large = partial_keys(threshold) if partial else tuple(reversed(block_keys(threshold)))
+    piece = lambda df, name, keys: df.select(by, F.col("key").alias(name), F.explode(keys("key")).alias("piece"))
+    met = piece(left, "a", small).join(piece(right, "b", large), [by, "piece"]).where(F.length("a") <= F.length("b"))
+    back = piece(left, "a", large).join(piece(right, "b", small), [by, "piece"]).where(F.length("a") > F.length("b"))
+    pairs = met.select(by, "a", "b").unionByName(back.select(by, "a", "b")).distinct()
+    return pairs if partial else pairs.where(can_reach(F.col("a"), F.col("b"), threshold))
+
+
 def similar_pairs(names: DataFrame, by: str, threshold: int) -> DataFrame:
     """``names`` (``by``, name) to (``by``, a, b, score): pairs of different names of one group with
     token-sort ratio at or above the threshold, each once with a < b. No pair is lost to blocking."""

@@ -98,7 +98,10 @@ def mentions(chunks: DataFrame, answers: DataFrame) -> DataFrame:
     item = "array<struct<name:string,entity_type:string,aliases:array<string>,context:string>>"
     parsed = answers.withColumn("entities", F.try_variant_get(recovered_json(F.col("response")), "$.entities", item))
     rows = chunks.join(parsed.select("key", "entities"), "key").select("book_id", "chapter_index", "chapter_title", "chunk_id", "chunk_idx", F.posexplode("entities").alias("pos", "e"))
-    ord_ = F.col("chapter_index").cast("long") * 1_000_000_000 + F.col("chunk_idx") * 100_000 + F.col("pos")
+    # Places compare as chapter, chunk and entity: 24, 20 and 19 bits, and what doesn't fit ends the run.
+    fits = (F.col("chapter_index") < 1 << 24) & (F.col("chunk_idx") < 1 << 20) & (F.col("pos") < 1 << 19)
+    place = F.shiftleft(F.col("chapter_index").cast("long"), 39) + F.shiftleft(F.col("chunk_idx").cast("long"), 19) + F.col("pos")
+    ord_ = F.when(fits, place).otherwise(F.raise_error(F.lit("a mention's place doesn't fit a long")).cast("long"))
     none = F.expr("cast(array() as array<string>)")
     flat = rows.select("book_id", "chapter_index", "chapter_title", "chunk_id", ord_.alias("ord"), F.col("e.name").alias("name"), F.coalesce("e.aliases", none).alias("aliases"), F.lower("e.entity_type").alias("entity_type"), F.coalesce("e.context", F.lit("")).alias("context"))
     return flat.where(F.col("entity_type").isin(list(T.BY_NAME)) & (F.coalesce("name", F.lit("")) != ""))

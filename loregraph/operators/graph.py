@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loregraph.functions.text import chapter_of
-from loregraph.storage import table
+from loregraph.storage import done_with, table
 
 
 def mention_index(mentions: DataFrame) -> DataFrame:
@@ -20,8 +20,17 @@ def connections(index: DataFrame, min_weight: int = 1, by: list[str] = [], chapt
     m = index.select(*by, "entity", "chunk").distinct()
     a, b = m.withColumnRenamed("entity", "source"), m.withColumnRenamed("entity", "target")
     pairs = a.join(b, [*by, "chunk"]).where("source < target")
+    edge = [*by, "source", "target"]
+    # Chapters fold on the map side, each once a chunk's edge; edges below the weight leave with the counts.
     more = [F.sort_array(F.collect_set(chapter_of(F.col("chunk")))).alias("co_occurrence_chapters")] if chapters else []
-    return pairs.groupBy(*by, "source", "target").agg(F.count("*").alias("weight"), *more).where(F.col("weight") >= min_weight)
+    if not chapters or min_weight < 2:
+        return pairs.groupBy(*edge).agg(F.count("*").alias("weight"), *more).where(F.col("weight") >= min_weight)
+    # Most pairs are below the weight: counting them holds no arrays, and only the chapters of the rest are collected.
+    counted = pairs.groupBy(*edge).agg(F.count("*").alias("weight"), F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where(F.col("weight") >= min_weight)
+    two = counted.where("weight = 2").select(*edge, "weight", F.sort_array(F.array_distinct(F.array(chapter_of(F.col("lo")), chapter_of(F.col("hi"))))).alias("co_occurrence_chapters"))
+    many = counted.where("weight > 2").select(*edge, "weight")
+    kept = pairs.join(many.drop("weight"), edge, "left_semi").groupBy(*edge).agg(F.count("*").alias("weight"), *more)
+    return two.unionByName(kept)
 
 
 def strongest(edges: DataFrame, n: int) -> DataFrame:
@@ -62,10 +71,11 @@ def components(links: DataFrame) -> DataFrame:
             nxt = parent.select(F.col("v").alias("n_v"), F.col("p").alias("n_p"))
             old = label.join(nxt, F.col("p") == F.col("n_v"), "left").select("v", F.coalesce("n_p", "p").alias("p"))
             new = old.unionByName(parent.join(label.select("v"), "v", "left_anti"))
-        label = table(new)
+        old_label, label = label, table(new)
         pa, pb = parent.select(F.col("v").alias("a"), F.col("p").alias("pa")), parent.select(F.col("v").alias("b"), F.col("p").alias("pb"))
         moved = edges.join(pa, "a", "left").join(pb, "b", "left").select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
-        edges = table(moved.where("a <> b").select(*pair).distinct())
+        old_edges, edges = edges, table(moved.where("a <> b").select(*pair).distinct())
+        done_with(old_edges, parent, *([old_label] if old_label is not None else []))
     if label is None:
         return links.select(F.col("a").alias("v"), F.col("b").alias("root")).where("false")
     ends = table(label.groupBy(F.col("p").alias("e")).agg(F.least(F.min("v"), F.first("p")).alias("root")))

@@ -56,12 +56,17 @@ def fuzzy_groups(names: DataFrame, threshold: int = T.FUZZY) -> DataFrame:
 
 
 def resolve(entities: DataFrame, model_groups: DataFrame | None = None, threshold: int = T.FUZZY, by: list[str] = ["book_id"]) -> tuple[DataFrame, DataFrame]:  # noqa: B006
-    """Resolved entities, and the decision log: per type the method that grouped its names."""
+    """Resolved entities, and the decision log: per type the method that grouped its names.
+    ``model_groups``: ``GROUPS``, and ``pos`` where the order in which the model listed them is known."""
     names = merge.names_by_type(entities)
     if model_groups is None:
         model_groups = entities.sparkSession.createDataFrame([], GROUPS)
     left = merge.unresolved(names, model_groups)
-    groups = model_groups.withColumn("pos", F.lit(0)).unionByName(fuzzy_groups(left, threshold).withColumn("pos", F.lit(1)))
+    # Where two model groups claim a name the last has it: in the order of ``pos``, else of canonical names.
+    numbered = model_groups if "pos" in model_groups.columns else model_groups.withColumn("pos", F.lit(0))
+    numbered = numbered.select("entity_type", "canonical_name", "aliases", "confidence", F.struct(F.col("pos").cast("long").alias("pos"), F.col("canonical_name").alias("tie")).alias("pos"))
+    own = fuzzy_groups(left, threshold).withColumn("pos", F.struct(F.lit(-1).cast("long").alias("pos"), F.col("canonical_name").alias("tie")))
+    groups = numbered.unionByName(own)
     counts = names.groupBy("entity_type").agg(F.count("*").alias("names")).join(model_groups.groupBy("entity_type").agg(F.count("*").alias("n")), "entity_type", "left")
     method = F.when(F.col("n") > 0, "llm").when(F.col("names") <= 1, "none").otherwise("fuzzy")
     return merge.merge_by_aliases(entities, merge.alias_map(groups), by), counts.select("entity_type", "names", method.alias("method"))

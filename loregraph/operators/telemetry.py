@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loregraph import types as T
 from loregraph.functions.text import preview
+from loregraph.storage import table
 
 METRICS = "run_id string, kind string, name string, value double, ts timestamp"
 SPANS = "trace_id string, span_id string, parent_id string, name string, start double, end double, status string, error string, attributes map<string,string>"
@@ -63,13 +64,24 @@ def span_stats(spans: DataFrame) -> DataFrame:
     return spans.groupBy("name").agg(F.count("*").alias("spans"), F.count_if(F.col("status") == "error").alias("errors"), F.sum(d).alias("total_ms"), F.max(d).alias("max_ms"))
 
 
-def span_depth(spans: DataFrame, most: int = 32) -> DataFrame:
-    """span_id, depth: 0 for spans without a parent in the table. Depth doubles a step: log(most) joins."""
-    known = spans.select("span_id", "parent_id").join(spans.select(F.col("span_id").alias("p")), F.col("parent_id") == F.col("p"), "left").select("span_id", F.col("p").alias("up"), F.when(F.col("p").isNull(), 0).otherwise(1).alias("depth"))
-    for _ in range(max(1, most.bit_length())):
+def span_depth(spans: DataFrame) -> DataFrame:
+    """span_id, depth: 0 for spans without a parent in the table. What a span knows of its ancestors doubles
+    each round, until none has an ancestor left: one join for each doubling of the deepest chain. Spans on a
+    circle of parents have no depth: null."""
+    ids = spans.select(F.col("span_id").alias("p"))
+    known = table(
+        spans.select("span_id", "parent_id").join(ids, F.col("parent_id") == F.col("p"), "left")
+        .select("span_id", F.col("p").alias("up"), F.when(F.col("p").isNull(), 0).otherwise(1).alias("depth"))
+    )
+    open_ = known.where("up is not null").count()
+    rounds, most = 0, max(1, open_).bit_length() + 1
+    while open_ and rounds < most:
         above = known.select(F.col("span_id").alias("u"), F.col("up").alias("u_up"), F.col("depth").alias("u_depth"))
-        known = known.join(above, F.col("up") == F.col("u"), "left").select("span_id", F.col("u_up").alias("up"), (F.col("depth") + F.coalesce("u_depth", F.lit(0))).alias("depth"))
-    return known.select("span_id", "depth")
+        known = table(known.join(above, F.col("up") == F.col("u"), "left").select("span_id", F.col("u_up").alias("up"), (F.col("depth") + F.coalesce("u_depth", F.lit(0))).alias("depth")))
+        open_ = known.where("up is not null").limit(1).count()
+        rounds += 1
+    # A chain of n spans ends within log2(n) rounds; what is open then is a circle.
+    return known.select("span_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
 def call_previews(calls: DataFrame) -> DataFrame:

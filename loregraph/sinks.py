@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,29 +11,71 @@ from pyspark.sql import functions as F
 
 from loregraph import types as T
 from loregraph.operators.summarize import output_json
-from loregraph.storage import new_folder
+from loregraph.storage import drop, table
 
 
 def append_events(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+#: Name of the file that says which version of a table holds.
+CURRENT = "_current"
+
+
+def _store(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _current(spark: SparkSession, path: str) -> str | None:
+    """The version that holds, None where there is none."""
+    jvm, at, store = _store(spark, f"{path}/{CURRENT}")
+    if not store.exists(at):
+        return None
+    source = store.open(at)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8").strip()
+    finally:
+        source.close()
+
+
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Overwrite a table that ``rows`` may read: the new version is complete before the old one goes."""
+    """Replace a table that ``rows`` may read. The new version is written beside the old one, and renaming
+    a small file makes it hold: a run that ends in between leaves the old version. Only then the old goes."""
     spark = rows.sparkSession
-    staged = new_folder(spark, "staged")
-    rows.write.parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    old, new = _current(spark, path), f"version-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{path}/{new}")
+    jvm, at, store = _store(spark, f"{path}/{CURRENT}")
+    _, staged, _ = _store(spark, f"{path}/{CURRENT}-{new}")
+    out = store.create(staged, True)
+    out.write(bytearray(new.encode()))
+    out.close()
+    replaced = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    replaced.rename(staged, at, overwrite)
+    if old:
+        drop(spark, f"{path}/{old}")
 
 
 def load_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table, or an empty one where there is none yet."""
+    """A table as ``replace_table`` or a plain writer left it, or an empty one where there is none, or none
+    that can be read: state that is lost is made anew."""
+    empty = spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        version = _current(spark, path)
+        found = spark.read.parquet(f"{path}/{version}" if version else path)
+        names = [f.name for f in empty.schema.fields]
+        if not set(names) <= set(found.columns):
+            return empty
+        found = found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in empty.schema.fields])
+        found.write.format("noop").mode("overwrite").save()
+        return found
     except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
+        if any(x in str(e) for x in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE", "is not a Parquet file", "CANNOT_MERGE_SCHEMAS", "DATATYPE_MISMATCH")):
+            return empty
+        raise
 
 
 def result_json(books: DataFrame, entities: DataFrame, edges: DataFrame, telemetry: DataFrame) -> DataFrame:
@@ -77,8 +120,28 @@ def priority_files(classified: DataFrame) -> DataFrame:
 
 
 def archived(classified: DataFrame, stamp: str) -> DataFrame:
-    """The files of noise entities with their place in the archive; a dry run only counts them."""
-    return classified.where("priority = 'noise'").select(F.concat(F.lit(f"archive/{stamp}/"), F.col("entity_type"), F.lit("s/"), F.col("name"), F.lit(".md")).alias("path"), "content")
+    """The files of noise entities with their place in the archive (path) and their old one (original); a
+    dry run only counts them."""
+    return classified.where("priority = 'noise'").select(F.concat(F.lit(f"archive/{stamp}/"), F.col("entity_type"), F.lit("s/"), F.col("name"), F.lit(".md")).alias("path"), F.col("path").alias("original"), "content")
+
+
+def move_files(files: DataFrame, root: str) -> DataFrame:
+    """Move ``files`` (path below ``root``, original, content): the copy is complete before the original
+    goes, so a repeated task finds either of them. Returns the paths."""
+    kept = table(files.select("path", "original", "content"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for pdf in batches:
+            for original in pdf["original"]:
+                store, at = fs.FileSystem.from_uri(original if "://" in original or original.startswith("/") else original.replace("file:/", "file:///", 1))
+                if store.get_file_info(at).type == fs.FileType.File:
+                    store.delete_file(at)
+            yield pdf[["path"]]
+
+    written = table(write_files(kept, root))
+    return kept.join(written.distinct(), "path", "left_semi").select("path", "original").mapInPandas(run, "path string")
 
 
 def entity_markdown(entities: DataFrame) -> DataFrame:

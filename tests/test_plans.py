@@ -126,6 +126,9 @@ def test_corpus_and_cli(spark, tmp_path, capsys):
     wiki = ["--wiki", f"file://{tmp_path}/w.json", "--corpus", str(tmp_path)]
     assert cli.main(["clean", *wiki, "--execute"]) == 0
     assert [p.name for p in (tmp_path / "archive").rglob("*.md")] == ["a_dog.md"]
+    assert sorted(p.name for p in folder.glob("*.md")) == ["Carl.md", "_index.md"]
+    assert cli.main(["clean", *wiki, "--execute", "--quiet"]) == 0
+    assert len(list((tmp_path / "archive").rglob("*.md"))) == 1
     assert cli.main(["classify", *wiki, "--execute", "--quiet"]) == 0
     assert "priority: canonical" in (folder / "Carl.md").read_text()
     assert cli.main(["clean", "--wiki", f"file://{tmp_path}/none.json", "--corpus", str(tmp_path)]) == 1
@@ -140,4 +143,59 @@ def test_ingest_takes_content_once(spark, tmp_path):
             q = feeds.ingest(spark.readStream.schema(schema).parquet(str(src)), str(tmp_path / "reg"), str(tmp_path / "out"), str(tmp_path / "cp"))
             q.awaitTermination()
     assert sorted(r["book_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "c"]
-    assert spark.read.parquet(str(tmp_path / "reg")).count() == 2
+    assert sinks.load_or_empty(spark, str(tmp_path / "reg"), state.REGISTRY).count() == 2
+
+
+def test_replaced_tables_and_lost_state(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    schema = "k string, n int"
+    for n in range(3):
+        old = sinks.load_or_empty(spark, path, schema)
+        sinks.replace_table(old.unionByName(spark.createDataFrame([("a", n)], schema)), path)
+    assert sorted(r["n"] for r in sinks.load_or_empty(spark, path, schema).collect()) == [0, 1, 2]
+    assert len([x for x in (tmp_path / "t").iterdir() if x.name.startswith("version-")]) == 1
+    for part in (tmp_path / "t").rglob("*.parquet"):
+        part.write_bytes(b"not a table")
+    for crc in (tmp_path / "t").rglob(".*.crc"):
+        crc.unlink()
+    assert sinks.load_or_empty(spark, path, schema).count() == 0
+    assert sinks.load_or_empty(spark, f"file://{tmp_path}/none", schema).count() == 0
+
+
+def test_span_depth_of_a_long_chain(spark):
+    chain = [(f"s{i}", f"s{i - 1}" if i else None) for i in range(200)] + [("x", "y"), ("y", "x"), ("o", "gone")]
+    got = {r["span_id"]: r["depth"] for r in telemetry.span_depth(spark.createDataFrame(chain, "span_id string, parent_id string")).collect()}
+    assert got == {**{f"s{i}": i for i in range(200)}, "x": None, "y": None, "o": 0}
+
+
+def test_chapters_of_strong_edges(spark):
+    import itertools
+    import random
+
+    rng = random.Random(2)
+    rows = {(f"e{rng.randrange(12)}", f"chapter_{rng.randrange(9)}:{rng.randrange(3)}") for _ in range(150)}
+    chunks = {}
+    for e, c in rows:
+        chunks.setdefault(c, []).append(e)
+    edges = {}
+    for c, es in chunks.items():
+        for a, b in itertools.combinations(sorted(es), 2):
+            edges.setdefault((a, b), []).append(c)
+    index = spark.createDataFrame(sorted(rows), "entity string, chunk string")
+    for least in (1, 2, 3):
+        expected = sorted((a, b, len(cs), sorted({c.split(":")[0] for c in cs})) for (a, b), cs in edges.items() if len(cs) >= least)
+        assert sorted(map(tuple, graph.connections(index, least, chapters=True).collect())) == expected
+
+
+def test_model_groups_in_order(spark):
+    """Of two groups that claim a name the last one has it; fuzzy groups come before all."""
+    from loregraph.operators import resolve
+
+    rows = [("b", n, [], "character", "", "ch", i, 1) for i, n in enumerate(["Carl", "Karl", "Donut"])]
+    entities = spark.createDataFrame(rows, "book_id string, name string, aliases array<string>, entity_type string, context string, chapter_title string, ord long, occurrence_count int")
+    groups = [("character", "Carl", ["Donut"], 0.9, 0), ("character", "Princess", ["donut"], 0.9, 1)]
+    for order, canonical in ((groups, "Princess"), ([(*g[:4], 1 - g[4]) for g in groups], "Carl")):
+        out, log = resolve.resolve(entities, spark.createDataFrame(order, resolve.GROUPS + ", pos int"))
+        names = {n: r["canonical_name"] for r in out.collect() for n in r["all_names"]}
+        assert names["Donut"] == canonical
+        assert [(r["method"], r["names"]) for r in log.collect()] == [("llm", 3)]

@@ -105,6 +105,38 @@ def test_similar_pairs_loses_nothing(spark):
         assert {(r["a"], r["b"]) for r in similarity.similar_pairs(df, "entity_type", t).collect()} == expected
 
 
+@pytest.mark.parametrize("partial", [True, False])
+def test_best_match_loses_nothing(spark, partial):
+    import random
+
+    rng = random.Random(6)
+    word = lambda a, n: "".join(rng.choice(a) for _ in range(rng.randint(1, n)))
+    listed = sorted({word("abcd ", 16) for _ in range(60)} | {"the tavern", "carl", "a"})
+    names = sorted({word("abcd ", 16) for _ in range(120)} | {x[1:] + "z" for x in listed} | {x + " of old" for x in listed} | {"", "karl"})
+    w = spark.createDataFrame([("location", x, x) for x in listed], "entity_type string, wiki_name string, wiki_key string")
+    n = spark.createDataFrame([("location", x, x) for x in names] + [("character", "carl", "carl"), ("location", None, None)], "entity_type string, name string, key string")
+    score = lambda a, b: max(similarity.ratio_of(a, b), similarity.partial_of(a, b) if partial else 0.0)
+    expected = {("character", "carl"): None, ("location", None): None}
+    for x in names:
+        best = min(((-score(x, b), b) for b in listed), default=None)
+        expected["location", x] = (x, 100.0) if x in listed else (best[1], -best[0]) if -best[0] >= 85 else None
+    got = {(r["entity_type"], r["name"]): (r["wiki_match"], r["match_score"]) if r["wiki_match"] is not None else None for r in wiki.best_match(n, w, 85, partial).collect()}
+    assert got == expected
+
+
+def test_chunks_in_time_of_the_texts_length():
+    import time
+
+    took = []
+    for n in (500_000, 2_000_000):
+        text, began = "Some words here. " * (n // 17), time.time()
+        assert chunking.cut(text, 300, 40) == chunks_of(text, 300, 40)
+        began = time.time()
+        chunking.cut(text, 300, 40)
+        took.append(time.time() - began)
+    assert took[1] < 8 * took[0] + 0.2
+
+
 def greedy_brute(names, threshold):
     pool, out = sorted(names), []
     key = lambda n: " ".join(sorted(n.split()))
