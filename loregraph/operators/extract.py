@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 from typing import Protocol
@@ -48,32 +50,64 @@ class Capitalized:
         return chunks.select("key").join(listed, "key", "left").select("key", F.to_json(F.struct(entities.alias("entities"))).alias("response"))
 
 
+#: A row a text that a model was asked for; ``response`` is null where every try failed.
+ASKED = "key string, response string, model string, prompt string, prompt_tokens int, completion_tokens int, duration_ms double, attempts int, success boolean"
+
+
 class HttpModel:
-    """A model server that answers POST {model, prompt, system, stream, options} with {response}. A client
-    lives in each partition; failures are retried and then left without an answer, so the work is asked
-    for again on the next run."""
+    """A model server that answers POST {model, prompt, system, stream, options} with {response}, and counts
+    of tokens where it gives them. A client lives in each partition; failures are retried and then left
+    without an answer, so the work is asked for again on the next run."""
+
+    # Options that make answers repeat as far as the server can.
+    OPTIONS = {"temperature": 0.0, "seed": 42, "num_predict": 4096}
 
-    def __init__(self, url: str, model: str, system: str = "", timeout: float = 300, retries: int = T.MAX_RETRIES):
+    def __init__(self, url: str, model: str, system: str = "", timeout: float = 300, retries: int = T.MAX_RETRIES, options: dict | None = None):
         self.url, self.name, self.system, self.timeout, self.retries = url, model, system, timeout, retries
+        self.options = dict(self.OPTIONS if options is None else options)
 
-    def answers(self, chunks: DataFrame) -> DataFrame:
-        url, model, system, timeout, retries = self.url, self.name, self.system, self.timeout, self.retries
+    def asked(self, texts: DataFrame) -> DataFrame:
+        """``texts`` (key, text) to ``ASKED``; materialise it before use, so that nothing is asked twice."""
+        url, model, system, timeout, retries, options = self.url, self.name, self.system, self.timeout, self.retries, self.options
+        estimate = lambda text: len(text) // 4
 
-        def ask(prompt: str) -> str | None:
-            body = json.dumps({"model": model, "prompt": prompt, "system": system, "stream": False, "options": {"temperature": 0.0, "seed": 42, "num_predict": 4096}}).encode()
-            for _ in range(retries):
+        def ask(prompt: str) -> tuple:
+            body = json.dumps({"model": model, "prompt": prompt, "system": system, "stream": False, "options": options}).encode()
+            began = time.monotonic()
+            for attempt in range(1, retries + 1):
                 try:
                     with urllib.request.urlopen(urllib.request.Request(url, body, {"Content-Type": "application/json"}), timeout=timeout) as r:
-                        return json.loads(r.read())["response"]
-                except (OSError, ValueError, KeyError):
+                        answer = json.loads(r.read())
+                    text = answer["response"]
+                    counts = answer.get("prompt_eval_count") or estimate(prompt + system), answer.get("eval_count") or estimate(text)
+                    return text, model, prompt, *counts, (time.monotonic() - began) * 1000, attempt, True
+                except (OSError, ValueError, KeyError, TypeError):
                     continue
-            return None
+            return None, model, prompt, estimate(prompt + system), 0, (time.monotonic() - began) * 1000, retries, False
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            columns = [c.split()[0] for c in ASKED.split(", ")]
             for pdf in batches:
-                yield pd.DataFrame({"key": pdf["key"], "response": [ask(t) for t in pdf["text"]]})
+                yield pd.DataFrame([(k, *ask(t)) for k, t in zip(pdf["key"], pdf["text"], strict=True)], columns=columns).astype({c: "int32" for c in ("prompt_tokens", "completion_tokens", "attempts")})
+
+        return texts.select("key", "text").mapInPandas(run, ASKED)
+
+    def answers(self, chunks: DataFrame) -> DataFrame:
+        return self.asked(chunks).where("response is not null")
+
+    def versions(self) -> dict[str, str]:
+        """Models of the server with the beginning of their digests; none where the server doesn't say."""
+        parts = urllib.parse.urlsplit(self.url)
+        try:
+            with urllib.request.urlopen(f"{parts.scheme}://{parts.netloc}/api/tags", timeout=10) as r:
+                return {m["name"]: m.get("digest", "")[:12] for m in json.loads(r.read())["models"]}
+        except (OSError, ValueError, KeyError, TypeError):
+            return {}
+
 
-        return chunks.select("key", "text").mapInPandas(run, "key string, response string").where("response is not null")
+def calls(asked: DataFrame, trace_id: str) -> DataFrame:
+    """Rows of the event table of calls from answers that say how they came about."""
+    return asked.select(F.lit(trace_id).alias("trace_id"), "model", "prompt", "response", "prompt_tokens", "completion_tokens", "duration_ms", "success")
 
 
 def capitalized(text: Column) -> Column:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from loregraph import types as T
 from loregraph.functions.similarity import similar_pairs
+from loregraph.functions.text import content_hash, recovered_json
 from loregraph.operators import merge
 from loregraph.operators.graph import components
+from loregraph.storage import table
 
 GROUPS = "entity_type string, canonical_name string, aliases array<string>, confidence double"
 #: Candidates that a seed looks at, itself included.
@@ -55,6 +57,41 @@ def fuzzy_groups(names: DataFrame, threshold: int = T.FUZZY) -> DataFrame:
     return stars.unionByName(alone)
 
 
+#: Names that a model is shown at once, and the confidence of a group that comes without one.
+SHOWN, CONFIDENCE = 500, 0.9
+
+
+def group_prompts(names: DataFrame, shown: int = SHOWN) -> DataFrame:
+    """``names`` (entity_type, name) to entity_type, block, key, text: prompts with about ``shown`` names. Names
+    with the same last word are in one prompt; a single name isn't asked for."""
+    last = F.lower(F.element_at(F.split(F.trim("name"), " +"), -1))
+    counts = names.groupBy("entity_type").agg(F.count("*").alias("n")).where("n > 1")
+    dealt = names.join(counts, "entity_type").withColumn("block", F.pmod(F.xxhash64(last), F.ceil(F.col("n") / shown)).cast("int"))
+    listed = dealt.groupBy("entity_type", "block").agg(F.array_sort(F.collect_list("name")).alias("names")).where(F.size("names") > 1)
+    text = F.concat(
+        F.lit('Which of these names mean the same '), F.col("entity_type"), F.lit('? Answer with JSON: {"groups": [{"canonical_name": "...", "aliases": ["..."], "confidence": 0.0 to 1.0}]}. Names:\n'),
+        F.array_join(F.transform("names", lambda x: F.concat(F.lit("- "), x)), "\n"),
+    )
+    return listed.select("entity_type", "block", text.alias("text")).withColumn("key", content_hash(F.concat_ws(":", F.lit("alias"), "text"), 16))
+
+
+def groups_from(prompts: DataFrame, answers: DataFrame) -> DataFrame:
+    """``answers`` (key, response) of ``group_prompts`` as ``GROUPS`` with ``pos``. Groups without a canonical
+    name, and answers that hold no object, give nothing; other lists in an answer don't count."""
+    item = "array<struct<canonical_name:string,aliases:array<string>,confidence:double>>"
+    parsed = prompts.join(answers.select("key", "response"), "key").select("entity_type", "block", F.try_variant_get(recovered_json(F.col("response")), "$.groups", item).alias("groups"))
+    rows = parsed.select("entity_type", "block", F.posexplode("groups").alias("place", "g")).where("coalesce(g.canonical_name, '') <> ''")
+    aliases = F.filter(F.coalesce("g.aliases", F.expr("cast(array() as array<string>)")), lambda x: x.isNotNull())
+    return rows.select("entity_type", F.col("g.canonical_name").alias("canonical_name"), aliases.alias("aliases"), F.coalesce("g.confidence", F.lit(CONFIDENCE)).alias("confidence"), (F.col("block") * 100_000 + F.col("place")).cast("long").alias("pos"))
+
+
+def ask_groups(entities: DataFrame, model) -> DataFrame:
+    """Alias groups of all names from a model (``answers``: key, text to key, response). The answers are written
+    before use, so nothing is asked twice."""
+    prompts = table(group_prompts(merge.names_by_type(entities)))
+    return groups_from(prompts, table(model.answers(prompts.select("key", "text"))))
+
+
 def resolve(entities: DataFrame, model_groups: DataFrame | None = None, threshold: int = T.FUZZY, by: list[str] = ["book_id"]) -> tuple[DataFrame, DataFrame]:  # noqa: B006
     """Resolved entities, and the decision log: per type the method that grouped its names.
     ``model_groups``: ``GROUPS``, and ``pos`` where the order in which the model listed them is known."""

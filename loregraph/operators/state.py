@@ -12,6 +12,11 @@ REGISTRY = "book_id string, title string, author string, file_path string, conte
 CACHE = "key string, completed_at timestamp, result string, model_name string, prompt_hash string"
 
 
+def book_records(books: DataFrame, status: str = "ingested") -> DataFrame:
+    """``books`` (book_id, title, author, file_path, content_hash, chapters) as new rows of the registry."""
+    return books.select("book_id", "title", "author", "file_path", "content_hash", F.lit(status).alias("status"), F.current_timestamp().alias("ingested_at"), F.lit(0).alias("entities_extracted"), F.col("chapters").cast("int").alias("chapters"))
+
+
 def latest(rows: DataFrame, key: str | list[str], at: str) -> DataFrame:
     """The newest row of each key: an upsert is a union and this."""
     keys = [key] if isinstance(key, str) else key

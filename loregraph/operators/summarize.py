@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loregraph import types as T
-from loregraph.functions.text import entity_id, recovered_json, valid_entity_id
+from loregraph.functions.text import content_hash, entity_id, recovered_json, valid_entity_id
+from loregraph.storage import table
 
 
 def prompt(name: Column, entity_type: Column, aliases: Column, contexts: Column) -> Column:
@@ -25,6 +26,14 @@ def prompts(resolved: DataFrame) -> DataFrame:
     return known.withColumn("aliases", F.array_remove("all_names", F.col("canonical_name"))).withColumn("prompt", prompt(F.col("canonical_name"), F.col("entity_type"), F.col("aliases"), F.col("contexts")))
 
 
+def ask(resolved: DataFrame, model) -> DataFrame:
+    """``answers`` of ``entities`` from a model (``answers``: key, text to key, response); entities with equal
+    prompts are asked for once, and the answers are written before use."""
+    asked = prompts(resolved).select("book_id", "canonical_name", "entity_type", F.col("prompt").alias("text")).withColumn("key", content_hash(F.concat_ws(":", F.lit("summary"), "text"), 16))
+    answered = table(model.answers(asked.select("key", "text").dropDuplicates(["key"])))
+    return asked.join(answered.select("key", "response"), "key").select("book_id", "canonical_name", "entity_type", "response")
+
+
 def entities(resolved: DataFrame, answers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Entities, and those whose id isn't valid, set apart. ``answers``: book_id, canonical_name,
     entity_type, response. Without a readable answer an entity has no description and empty fields."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,31 +34,55 @@ def wiki_names(wiki: DataFrame) -> DataFrame:
     return wiki.select("entity_type", F.lower("wiki_name").alias("wiki_name")).distinct()
 
 
-def front_matter_of(content: str | None) -> dict[str, str] | None:
-    """Keys and values between the opening '---' and the first '---' after it, anywhere; flat YAML with
-    scalars and lists (which are joined by commas); null without front matter or if a line is neither."""
-    if content is None or not content.startswith("---"):
-        return None
-    end = content.find("---", 3)
-    if end < 0:
-        return None
-    out: dict[str, str] = {}
+def _shown(value: object) -> str:
+    """A value as text: lists of scalars joined by commas, other nested values as JSON."""
+    if value is None:
+        return ""
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, list) and not any(isinstance(x, (list, dict)) for x in value):
+        return ", ".join(_shown(x) for x in value)
+    return json.dumps(value, default=str, ensure_ascii=False) if isinstance(value, (list, dict)) else str(value)
+
+
+def _flat(text: str) -> dict[str, object] | None:
+    """Scalars and flat lists, for where no YAML library is installed; None if a line is neither."""
+    out: dict[str, object] = {}
     key = None
-    for line in content[3:end].splitlines():
-        if not line.strip() or line.lstrip().startswith("#"):
-            continue
+    for line in text.splitlines():
         item = line.strip()
+        if not item or item.startswith("#"):
+            continue
         if item.startswith("- ") and key is not None:
-            out[key] = ", ".join(x for x in (out[key], item[2:].strip().strip("\"'")) if x)
-        elif ":" in item:
+            out[key] = [*(out[key] if isinstance(out[key], list) else []), item[2:].strip().strip("\"'")]
+        elif ":" in item and line[0] not in " \t":
             key, _, value = (x.strip() for x in item.partition(":"))
-            value = value.strip("[]") if value.startswith("[") else value
-            out[key] = ", ".join(v.strip().strip("\"'") for v in value.split(",")) if value else ""
+            out[key] = [v.strip().strip("\"'") for v in value[1:-1].split(",") if v.strip()] if value.startswith("[") else value.strip("\"'")
         else:
             return None
     return out
 
 
+def front_matter_of(content: str | None) -> dict[str, str] | None:
+    """Keys and values between the opening '---' and the first '---' after it, anywhere; see ``_shown``. Null
+    without front matter, or if it's no mapping."""
+    if content is None or not content.startswith("---"):
+        return None
+    end = content.find("---", 3)
+    if end < 0:
+        return None
+    try:
+        import yaml
+    except ImportError:
+        found = _flat(content[3:end])
+    else:
+        try:
+            found = yaml.safe_load(content[3:end])
+        except yaml.YAMLError:
+            found = None
+    return {str(k): _shown(v) for k, v in found.items()} if isinstance(found, dict) else None
+
+
 @F.pandas_udf(S.MapType(S.StringType(), S.StringType()))
 def front_matter(content: pd.Series) -> pd.Series:
     return content.map(front_matter_of)
