@@ -102,7 +102,8 @@ def _plan(docs: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
     goals = targets(sizes.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, cap)
     state = solve(sizes.where("size > 0"), checkpoint(goals), cap)
 
-    rates = state.select(F.col("key").alias("of"), "source_size", "target", "mean", "full", "lam")
+    # Written, so the planner knows its size, and documents aren't dealt by source to meet a row a source.
+    rates = table(state.select(F.col("key").alias("of"), "source_size", "target", "mean", "full", "lam"))
     rated = base.join(rates, F.col("key") == F.col("of")).select(
         "doc_id", "key", "text_key", "size", "source_size", "target", "tie",
         F.floor(_rate(cap) * UNIT).cast("long").alias("units"), F.xxhash64("doc_id", "text_key").alias("h"),
@@ -124,7 +125,7 @@ def _plan(docs: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
     # Rounding may start anywhere in a unit: each source takes the start that meets its target best.
     copies = lambda at: F.shiftright(F.col("upto") + at, 20) - F.shiftright(F.col("upto") - F.col("units") + at, 20)
     missed = F.array(*[F.abs(F.sum(F.col("size") * copies(F.lit(j * (UNIT // STARTS)))) - F.first("target")) for j in range(STARTS)])
-    best = placed.groupBy(F.col("key").alias("of")).agg(missed.alias("missed")).select("of", ((F.array_position("missed", F.array_min("missed")) - 1) * (UNIT // STARTS)).alias("at"))
+    best = table(placed.groupBy(F.col("key").alias("of")).agg(missed.alias("missed")).select("of", ((F.array_position("missed", F.array_min("missed")) - 1) * (UNIT // STARTS)).alias("at")))
     return placed.join(best, F.col("key") == F.col("of")).select("doc_id", "key", "text_key", "size", "source_size", "target", copies(F.col("at")).cast("int").alias("copies"))
 
 
