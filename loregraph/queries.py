@@ -183,14 +183,14 @@ def trace_preview(spark, sf_dir):
 # --- mentions: sources are books, documents are chapters, capitalised words are names -----------------
 
 _MENTIONS = r"""
-w AS (SELECT doc_id, source, left(text, 40) AS context, unnest(list_filter(string_split_regex(text, '[^A-Za-z]+'), lambda x: regexp_matches(x, '^[A-Z][a-z]{2,}$'))) AS name,
+w AS (SELECT doc_id, source, lang || ' ' || n_chars AS context, unnest(list_filter(string_split_regex(text, '[^A-Za-z]+'), lambda x: regexp_matches(x, '^[A-Z][a-z]{2,}$'))) AS name,
       unnest(range(1, 1 + len(list_filter(string_split_regex(text, '[^A-Za-z]+'), lambda x: regexp_matches(x, '^[A-Z][a-z]{2,}$'))))) - 1 AS pos FROM documents),
 m AS (SELECT source AS book_id, doc_id AS chapter_index, doc_id * 1000000 + pos AS ord, name, CASE length(name) % 4 WHEN 0 THEN 'character' WHEN 1 THEN 'location' WHEN 2 THEN 'faction' ELSE 'timeline_event' END AS entity_type, context FROM w)
 """
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _t(spark, sf_dir, "documents").select("doc_id", "source", F.left("text", F.lit(40)).alias("context"), F.posexplode(extract.capitalized(F.col("text"))).alias("pos", "name"))
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", F.concat("lang", F.lit(" "), F.col("n_chars").cast("string")).alias("context"), F.posexplode(extract.capitalized(F.col("text"))).alias("pos", "name"))
     kinds = F.array(*[F.lit(t.name) for t in T.TYPES])
     return d.select(
         F.col("source").alias("book_id"), F.col("doc_id").cast("int").alias("chapter_index"), F.concat(F.lit("chapter "), F.col("doc_id").cast("string")).alias("chapter_title"),
@@ -201,19 +201,19 @@ def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH" + _MENTIONS + """
 SELECT book_id, lower(name) AS name_key, entity_type, arg_min(name, ord) AS name, CAST(arg_min(chapter_index, ord) AS INTEGER) AS chapter_index,
-       arg_max(context, length(context) * 1000000000000 - ord) AS context, CAST(count(*) AS INTEGER) AS occurrence_count FROM m GROUP BY 1, 2, 3
+       arg_max(context, length(context) * 1000000000000 - ord) AS context, array_to_string(list_sort(list(DISTINCT lower(name))), ',') AS aliases, CAST(count(*) AS INTEGER) AS occurrence_count FROM m GROUP BY 1, 2, 3
 """)
 def raw_merge(spark, sf_dir):
-    return merge.merge_raw(_mentions(spark, sf_dir)).drop("aliases", "ord")
+    return merge.merge_raw(_mentions(spark, sf_dir)).drop("ord").withColumn("aliases", F.array_join("aliases", ","))
 
 
 @query("WITH" + _MENTIONS + """, c AS (
-SELECT book_id, chapter_index, lower(name) AS name_key, entity_type, arg_min(name, ord) AS name, min(ord) AS ord, count(*) AS n FROM m GROUP BY 1, 2, 3, 4)
-SELECT book_id, name_key, entity_type, arg_min(name, ord) AS name, CAST(arg_min(n, ord) + count(*) - 1 AS INTEGER) AS occurrence_count, CAST(sum(n) AS BIGINT) AS true_mentions
+SELECT book_id, chapter_index, lower(name) AS name_key, entity_type, arg_min(name, ord) AS name, min(ord) AS ord, count(*) AS n, arg_max(context, length(context) * 1000000000000 - ord) AS context FROM m GROUP BY 1, 2, 3, 4)
+SELECT book_id, name_key, entity_type, arg_min(name, ord) AS name, name_key AS aliases, arg_max(context, length(context) * 1000000000000 - ord) AS context, CAST(arg_min(n, ord) + count(*) - 1 AS INTEGER) AS occurrence_count, CAST(sum(n) AS BIGINT) AS true_mentions
 FROM c GROUP BY 1, 2, 3
 """)
 def two_level_merge(spark, sf_dir):
-    return merge.merge_two_level(_mentions(spark, sf_dir)).drop("aliases", "context", "ord")
+    return merge.merge_two_level(_mentions(spark, sf_dir)).drop("ord").withColumn("aliases", F.array_join("aliases", ","))
 
 
 @query("WITH" + _MENTIONS + "SELECT DISTINCT entity_type || ':' || lower(name) AS entity, chapter_index || ':0' AS chunk FROM m")
@@ -242,7 +242,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_CUST_SQL = "c AS (SELECT c_mktsegment AS book_id, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE n_name END AS name, c_custkey AS ord, c_custkey % 5 + 1 AS n FROM customer JOIN nation ON c_nationkey = n_nationkey), j AS (SELECT c.*, coalesce(a.canonical, c.name) AS canonical FROM c LEFT JOIN a ON lower(c.name) = a.alias_key)"
+_CUST_SQL = "c AS (SELECT c_mktsegment AS book_id, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE n_name END AS name, c_name, c_custkey AS ord, c_custkey % 5 + 1 AS n FROM customer JOIN nation ON c_nationkey = n_nationkey), j AS (SELECT c.*, coalesce(a.canonical, c.name) AS canonical FROM c LEFT JOIN a ON lower(c.name) = a.alias_key)"
 
 
 @query(f"WITH {_GROUPS_SQL}, {_CUST_SQL} SELECT ord, name, canonical FROM j")
@@ -250,11 +250,11 @@ def alias_lookup(spark, sf_dir):
     return merge.canonical_names(_customers(spark, sf_dir), merge.alias_map(_groups(spark, sf_dir))).select("ord", "name", "canonical")
 
 
-@query(f"""WITH {_GROUPS_SQL}, {_CUST_SQL} SELECT book_id, arg_min(canonical, ord) AS canonical_name, CAST(sum(n) AS BIGINT) AS total_occurrences, count(DISTINCT 'ch' || ord % 7) AS chapters,
-count(*) AS contexts FROM j GROUP BY book_id, lower(canonical)""")
+@query(f"""WITH {_GROUPS_SQL}, {_CUST_SQL} SELECT book_id, arg_min(canonical, ord) AS canonical_name, CAST(sum(n) AS BIGINT) AS total_occurrences, array_to_string(list_sort(list(DISTINCT 'ch' || ord % 7)), ',') AS chapters,
+string_agg('c' || ord, ',' ORDER BY ord) AS contexts, array_to_string(list_sort(list_distinct(flatten(list([canonical, name, c_name])))), ',') AS all_names FROM j GROUP BY book_id, lower(canonical)""")
 def alias_merge(spark, sf_dir):
     out = merge.merge_by_aliases(_customers(spark, sf_dir), merge.alias_map(_groups(spark, sf_dir)))
-    return out.select("book_id", "canonical_name", "total_occurrences", F.size("source_chapters").cast("long").alias("chapters"), F.size("contexts").cast("long").alias("contexts"))
+    return out.select("book_id", "canonical_name", "total_occurrences", F.array_join(F.array_sort("source_chapters"), ",").alias("chapters"), F.array_join("contexts", ",").alias("contexts"), F.array_join("all_names", ",").alias("all_names"))
 
 
 @query("SELECT DISTINCT 'character' AS entity_type, c_mktsegment AS name FROM customer WHERE c_mktsegment NOT IN (SELECT n_name FROM nation) UNION SELECT 'character', n_name FROM nation WHERE n_name NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 3)")
@@ -349,13 +349,13 @@ def priority_rollup(spark, sf_dir):
     return wiki.priority_counts(_prioritized(spark, sf_dir)).withColumn("entity_type", F.coalesce("entity_type", F.lit("all")))
 
 
-_NOISE_SQL = r"'(?i)^(?:a_|the_|an_|\d+_|_level_\d+|crawler_\d+|level_\d+|group_of_|pair_of_|two_|three_)'"
-_NAMED_SQL = "n AS (SELECT doc_id, (['The_man', 'goblin_level_2', 'crawler_12', '35_years', 'theodore', 'Bautista the Great', 'Élan', 'a_dog'])[doc_id % 8 + 1] AS name, CASE WHEN doc_id % 3 = 0 THEN left(text, 60) ELSE left(text, 300) END AS description, text AS content FROM documents)"
+_NOISE_SQL = f"'{wiki.NOISE}'"
+_NAMED_SQL = "n AS (SELECT doc_id, (['The_man', 'goblin_level_2', 'crawler_12', '35_years', 'theodore', 'Bautista the Great', 'Élan', 'a_dog'])[doc_id % 8 + 1] AS name, CASE WHEN doc_id % 3 = 0 THEN source || ' ' || lang ELSE text END AS description, text AS content FROM documents)"
 
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(x) for x in ("The_man", "goblin_level_2", "crawler_12", "35_years", "theodore", "Bautista the Great", "Élan", "a_dog")])
-    d = F.when(F.col("doc_id") % 3 == 0, F.left("text", F.lit(60))).otherwise(F.left("text", F.lit(300)))
+    d = F.when(F.col("doc_id") % 3 == 0, F.concat("source", F.lit(" "), "lang")).otherwise(F.col("text"))
     return _t(spark, sf_dir, "documents").select("doc_id", F.element_at(names, (F.col("doc_id") % 8 + 1).cast("int")).alias("name"), d.alias("description"), F.col("text").alias("content"), F.lit("character").alias("entity_type"))
 
 
@@ -440,11 +440,12 @@ def counters(spark, sf_dir):
 
 
 @query("""
-WITH v AS (SELECT event_type AS name, list_sort(list(value)) AS v FROM events GROUP BY 1)
-SELECT name, CAST(len(v) AS BIGINT) AS count, v[1] AS min, v[len(v)] AS max, v[CAST(floor(len(v) * 0.5) AS BIGINT) + 1] AS p50, v[CAST(floor(len(v) * 0.95) AS BIGINT) + 1] AS p95 FROM v
+WITH v AS (SELECT event_type AS name, list_sort(list(round(value * 100))) AS v FROM events GROUP BY 1)
+SELECT name, CAST(len(v) AS BIGINT) AS count, list_sum(v) AS sum, list_sum(v) / len(v) AS mean, v[1] AS min, v[len(v)] AS max, v[CAST(floor(len(v) * 0.5) AS BIGINT) + 1] AS p50, v[CAST(floor(len(v) * 0.95) AS BIGINT) + 1] AS p95 FROM v
 """)
 def histogram(spark, sf_dir):
-    return telemetry.histogram(_metrics(spark, sf_dir)).select("name", "count", "min", "max", "p50", "p95")
+    cents = _metrics(spark, sf_dir).withColumn("value", F.round(F.col("value") * 100))  # whole numbers, so sums are exact
+    return telemetry.histogram(cents)
 
 
 @query("SELECT event_type AS name, arg_max(value, (ts, value)) AS value FROM events GROUP BY 1")
@@ -452,9 +453,9 @@ def gauge(spark, sf_dir):
     return telemetry.gauges(_metrics(spark, sf_dir))
 
 
-@query("SELECT user_id % 10 AS stage, count(*) AS errors, count(*) FILTER (event_id % 7 = 0) AS fatal FROM events WHERE event_type = 'click' GROUP BY 1")
+@query("SELECT user_id % 10 AS stage, count(*) AS errors, count(*) FILTER (event_id % 7 = 0) AS fatal FROM events GROUP BY 1")
 def error_totals(spark, sf_dir):
-    rows = _t(spark, sf_dir, "events").where("event_type = 'click'").select((F.col("user_id") % 10).alias("stage"), (F.col("event_id") % 7 == 0).alias("fatal"))
+    rows = _t(spark, sf_dir, "events").select((F.col("user_id") % 10).alias("stage"), (F.col("event_id") % 7 == 0).alias("fatal"))
     return telemetry.errors(rows)
 
 
