@@ -5,16 +5,20 @@ Both sides run over whole tables. Columns are cast so that types agree.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loregraph import sinks
 from loregraph import types as T
 from loregraph.functions import chunking, similarity, text
 from loregraph.operators import extract, graph, merge, resolve, state, summarize, telemetry, wiki
 from loregraph.plans import books
-from loregraph.sources import html
+from loregraph.sources import corpus, html
+from loregraph.storage import new_folder, table
+from loregraph.streaming import feeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,6 +76,7 @@ def cooccurrence_chapters(spark, sf_dir):
 
 # --- text ---------------------------------------------------------------------------------------------
 
+_TEXT_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(nfc_normalize({t}), '[\t\r\f\x0B]+', ' ', 'g'), ' +', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10))"""
 
 
 @query(r"""
@@ -156,17 +161,22 @@ def chapter_index(spark, sf_dir):
     return kept.select("source", (F.row_number().over(order) - 1).alias("chapter_index"), "doc_id")
 
 
-@query(r"""
-WITH RECURSIVE d AS (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents),
+def _chunks_sql(text_sql: str, size: int, overlap: int) -> str:
+    return rf"""
+RECURSIVE d AS (SELECT doc_id, {text_sql} AS t FROM documents),
 c AS (
-  SELECT doc_id, t, 0 AS i, CASE WHEN length(t) <= 300 THEN length(t) ELSE 0 END AS st, CASE WHEN length(t) <= 300 THEN t END AS chunk FROM d
+  SELECT doc_id, t, 0 AS i, CASE WHEN length(t) <= {size} THEN length(t) ELSE 0 END AS st, CASE WHEN length(t) <= {size} THEN t END AS chunk FROM d
   UNION ALL
-  SELECT doc_id, t, i + 1, CASE WHEN e < length(t) THEN e - 40 ELSE e END, trim(substr(t, st + 1, e - st), ' ' || chr(10) || chr(9) || chr(13)) FROM (
-    SELECT doc_id, t, i, st, CASE WHEN st + 300 >= length(t) THEN length(t) WHEN p > 150 THEN st + p WHEN q > 150 THEN st + q + 1 ELSE st + 300 END AS e FROM (
+  SELECT doc_id, t, i + 1, CASE WHEN e < length(t) THEN e - {overlap} ELSE e END, trim(substr(t, st + 1, e - st), ' ' || chr(10) || chr(9) || chr(13)) FROM (
+    SELECT doc_id, t, i, st, CASE WHEN st + {size} >= length(t) THEN length(t) WHEN p > {size // 2} THEN st + p WHEN q > {size // 2} THEN st + q + 1 ELSE st + {size} END AS e FROM (
       SELECT doc_id, t, i, st, CASE WHEN strpos(reverse(w), chr(10) || chr(10)) = 0 THEN -1 ELSE length(w) - strpos(reverse(w), chr(10) || chr(10)) - 1 END AS p,
              CASE WHEN strpos(reverse(w), ' .') = 0 THEN -1 ELSE length(w) - strpos(reverse(w), ' .') - 1 END AS q
-      FROM (SELECT doc_id, t, i, st, substr(t, st + 1, 300) AS w FROM c WHERE st < length(t))))
+      FROM (SELECT doc_id, t, i, st, substr(t, st + 1, {size}) AS w FROM c WHERE st < length(t))))
 )
+"""
+
+
+@query("WITH " + _chunks_sql("replace(text, chr(10), chr(10) || chr(10))", 300, 40) + """
 SELECT doc_id, CAST(CASE WHEN length(t) <= 300 THEN 0 ELSE i - 1 END AS INTEGER) AS chunk_idx, sha256(chunk) AS h FROM c WHERE chunk IS NOT NULL
 """)
 def chunks(spark, sf_dir):
@@ -300,7 +310,14 @@ def token_sort_ratio(spark, sf_dir):
     return _nation_pairs(spark, sf_dir).select(a.alias("a"), b.alias("b")).distinct().withColumn("score", similarity.ratio("a", "b"))
 
 
-@query()
+_WINDOWS = """(SELECT sh, substr(lo, greatest(0, i) + 1, i + length(sh) - greatest(0, i)) AS win FROM (SELECT *, unnest(range(1 - length(sh), length(lo))) AS i FROM
+(SELECT DISTINCT CASE WHEN length(x.n_name) <= length(y.n_name) THEN x.n_name ELSE y.n_name END AS sh, CASE WHEN length(x.n_name) <= length(y.n_name) THEN y.n_name ELSE x.n_name END AS lo FROM nation x, nation y)))"""
+
+
+@query("WITH " + _LCS.format(a="DISTINCT sh", b="win", tables=_WINDOWS) + ", f AS (" + _FINAL + """), o AS (SELECT DISTINCT x.n_name AS a, y.n_name AS b FROM nation x, nation y),
+w AS (SELECT *, unnest(range(1 - length(sh), length(lo))) AS i FROM (SELECT a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS sh, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS lo FROM o))
+SELECT w.a, w.b, max(f.score) AS score FROM w JOIN f ON f.a = w.sh AND f.b = substr(w.lo, greatest(0, i) + 1, i + length(sh) - greatest(0, i)) GROUP BY 1, 2
+""")
 def partial_ratio(spark, sf_dir):
     return _nation_pairs(spark, sf_dir).withColumn("score", similarity.partial_ratio("a", "b"))
 
@@ -600,6 +617,276 @@ def output_json(spark, sf_dir):
     return summarize.output_json(e).select("n_nationkey", "json")
 
 
+# --- files: written below the shared folder and read back ------------------------------------------------
+
+
+def _far(key: Column, salt: str, width: int = 24) -> Column:
+    """Names so different from each other that only planted likeness matches."""
+    return F.substring(F.sha2(F.concat(F.lit(salt), key.cast("string")), 256), 1, width)
+
+
+@query("""
+SELECT 'character' AS entity_type, CASE WHEN n_nationkey % 3 = 0 THEN 'Sir ' || n_name ELSE n_name END AS wiki_name, CASE WHEN n_nationkey % 3 = 0 THEN 'd' || n_nationkey ELSE '' END AS description FROM nation WHERE n_nationkey % 3 < 2
+UNION ALL SELECT 'timeline_event', r_name, '' FROM region
+""")
+def wiki_files(spark, sf_dir):
+    """Entries that are objects, texts, or neither; events are named by another field."""
+    k = F.col("n_nationkey") % 3
+    named = F.to_json(F.struct(F.concat(F.lit("Sir "), F.col("n_name")).alias("name"), F.concat(F.lit("d"), F.col("n_nationkey").cast("string")).alias("description")))
+    entry = F.when(k == 0, named).when(k == 1, F.concat(F.lit('"'), F.col("n_name"), F.lit('"'))).otherwise(F.lit("17"))
+    listed = _t(spark, sf_dir, "nation").agg(F.array_join(F.collect_list(entry), ",").alias("c"))
+    events = _t(spark, sf_dir, "region").agg(F.array_join(F.collect_list(F.to_json(F.struct(F.col("r_name").alias("event")))), ",").alias("e"))
+    at = new_folder(spark, "wiki")
+    listed.join(events).select(F.concat(F.lit('{"characters":['), "c", F.lit('],"timeline_events":['), "e", F.lit("]}"))).write.text(at)
+    return corpus.read_wiki(spark, at)
+
+
+_TYPES4_SQL = "CASE {k} % 5 WHEN 1 THEN 'location' WHEN 2 THEN 'faction' WHEN 3 THEN 'timeline_event' ELSE 'character' END"
+_FOLDER_SQL = "CASE {k} % 5 WHEN 1 THEN 'locations' WHEN 2 THEN 'factions' WHEN 3 THEN 'timeline' ELSE 'characters' END"
+_ID_SQL = "CASE {k} % 5 WHEN 0 THEN 'char' WHEN 1 THEN 'loc' WHEN 2 THEN 'fac' WHEN 3 THEN 'evt' ELSE 'ent' END || '_' || n"
+_FILES_SQL = "f AS (SELECT s_suppkey, left(sha256('f' || s_suppkey), 24) AS n, s_suppkey % 15 AS c FROM supplier)"
+
+
+def _entity_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _t(spark, sf_dir, "supplier").select("s_suppkey", _far(F.col("s_suppkey"), "f").alias("name"), _type(F.col("s_suppkey")).alias("entity_type"), F.array(F.lit("one"), F.concat(F.lit("zz"), F.col("s_suppkey").cast("string"), F.lit("zz"))).alias("aliases"), (F.col("s_suppkey") % 15).alias("occurrence_count"))
+    return sinks.entity_markdown(s.withColumn("entity_id", text.entity_id(F.col("name"), F.col("entity_type"))).withColumn("canonical_description", F.concat(F.lit("About "), "name")))
+
+
+def _folder_of_files(spark: SparkSession, files: DataFrame) -> str:
+    root = new_folder(spark, "corpus")
+    table(sinks.write_files(files, root))
+    return root
+
+
+@query(f"WITH {_FILES_SQL} SELECT {_TYPES4_SQL.format(k='s_suppkey')} AS entity_type, {_ID_SQL.format(k='s_suppkey')} AS file, n AS name, 'one, zz' || s_suppkey || 'zz' AS aliases, CAST(c AS VARCHAR) AS occurrence_count, 'About ' || n AS description FROM f")
+def corpus_files(spark, sf_dir):
+    """Types that aren't known are in the folder of characters; files whose name begins with '_' don't count."""
+    files = _entity_files(spark, sf_dir)
+    index = files.limit(1).select(F.lit("characters/_index.md").alias("path"), F.lit("---\nname: x\n---\n").alias("content"))
+    fm = lambda k: F.col("front_matter")[k].alias(k)
+    found = corpus.read_corpus(spark, _folder_of_files(spark, files.unionByName(index)))
+    return found.select("entity_type", F.col("name").alias("file"), fm("name"), fm("aliases"), fm("occurrence_count"), "description")
+
+
+@query(f"""WITH {_FILES_SQL}, p AS (SELECT *, s_suppkey % 2 = 0 AS l, {_ID_SQL.format(k='s_suppkey')} AS id FROM f)
+SELECT id || '.md' AS file, '---' || chr(10) || 'name: ' || n || chr(10) || 'entity_type: ' || {_TYPE_SQL.format(k='s_suppkey')} || chr(10) || 'aliases: [one, zz' || s_suppkey || 'zz]' || chr(10) || 'occurrence_count: ' || c || chr(10) ||
+'priority: ' || CASE WHEN l THEN 'canonical' WHEN c >= 10 THEN 'major' ELSE 'minor' END || chr(10) || 'is_wiki_linked: ' || l || chr(10) || CASE WHEN l THEN 'wiki_entry_name: ' || n || chr(10) ELSE '' END || '---' || chr(10) || '# ' || n || chr(10) || chr(10) || 'About ' || n AS content FROM p""")
+def priority_files(spark, sf_dir):
+    """Priorities of a folder's entities by the list, in their front matter."""
+    files = corpus.read_corpus(spark, _folder_of_files(spark, _entity_files(spark, sf_dir)))
+    listed = files.where("front_matter['aliases'] rlike '[02468]zz$'").select("entity_type", F.col("front_matter")["name"].alias("wiki_name"))
+    classified, _ = books.classify_corpus(files, listed)
+    return sinks.priority_files(classified).select(F.substring_index("path", "/", -1).alias("file"), "content")
+
+
+@query(f"""WITH {_FILES_SQL} SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'archive/now/' || {_TYPES4_SQL.format(k='s_suppkey')} || 's/' ELSE {_FOLDER_SQL.format(k='s_suppkey')} || '/' END || {_ID_SQL.format(k='s_suppkey')} || '.md' AS path FROM f""")
+def archived_files(spark, sf_dir):
+    """Noise is moved: what is in a folder afterwards."""
+    root = _folder_of_files(spark, _entity_files(spark, sf_dir))
+    noise = F.when(F.col("front_matter")["aliases"].rlike("[02468]zz$"), "noise").otherwise("minor")
+    classified = corpus.read_corpus(spark, root).withColumn("priority", noise)
+    table(sinks.move_files(sinks.archived(classified, "now"), root))
+    left = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").load(root)
+    return left.select(F.element_at(F.split("path", "/corpus-[0-9a-f]{32}/"), 2).alias("path"))
+
+
+@query(f"WITH {_CLEAN_SQL} SELECT name, quality_score FROM t JOIN n USING (doc_id) WHERE priority = 'noise' ORDER BY quality_score, name LIMIT 20")
+def noise_sample(spark, sf_dir):
+    """A report of twenty names, as the operator gives it."""
+    return wiki.noise_sample(_cleaned(spark, sf_dir)).select("name", "quality_score")
+
+
+@query("""
+SELECT r_name AS book_id, '{"metadata":{"book_id":"' || r_name || '","title":null},"entities":[' || coalesce((SELECT string_agg(j, ',' ORDER BY j) FROM (
+  SELECT '{"entity_id":"char_' || n_nationkey || '","entity_type":"character","name":"' || n_name || '","aliases":[],"description":null,"first_appearance":null,"occurrence_count":' || n_nationkey || '}' AS j FROM nation WHERE n_regionkey = r_regionkey)), '') ||
+  '],"connections":' || coalesce((SELECT '[' || string_agg('{"source":"' || a.n_name || '","target":"' || b.n_name || '","weight":' || (a.n_nationkey + b.n_nationkey) % 3 || ',"co_occurrence_chapters":["c"]}', ',' ORDER BY (a.n_nationkey + b.n_nationkey) % 3 DESC, a.n_name, b.n_name) || ']'
+  FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_name < b.n_name WHERE a.n_regionkey = r_regionkey), '[]') || ',"telemetry":{"calls":' || r_regionkey || '}}' AS json FROM region
+""")
+def result_json(spark, sf_dir):
+    n, r = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
+    named = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("book_id"), "n_name", "n_nationkey")
+    entities = named.select("book_id", F.concat(F.lit("char_"), F.col("n_nationkey").cast("string")).alias("entity_id"), F.lit("character").alias("entity_type"), F.col("n_name").alias("name"), F.expr("cast(array() as array<string>)").alias("aliases"), F.lit(None).cast("string").alias("canonical_description"), F.lit(None).cast("string").alias("first_appearance"), F.col("n_nationkey").alias("occurrence_count"))
+    b = named.select("book_id", F.col("n_name").alias("target"), F.col("n_nationkey").alias("k"))
+    edges = named.join(b, "book_id").where("n_name < target").select("book_id", F.col("n_name").alias("source"), "target", ((F.col("n_nationkey") + F.col("k")) % 3).cast("long").alias("weight"), F.array(F.lit("c")).alias("co_occurrence_chapters"))
+    return sinks.result_json(r.select(F.col("r_name").alias("book_id"), F.lit(None).cast("string").alias("title")), entities, edges, r.select(F.col("r_name").alias("book_id"), F.col("r_regionkey").alias("calls")))
+
+
+@query(f"WITH {_LOG_SQL} SELECT key, completed_at, result FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY completed_at DESC) AS rn FROM log) WHERE rn = 1")
+def state_table(spark, sf_dir):
+    """A table that starts out missing and is replaced by what is read from it and added to it."""
+    schema, at = "key string, completed_at long, result string", new_folder(spark, "state")
+    log = _log(spark, sf_dir).select("key", "completed_at", "result")
+    for part in range(2):
+        sinks.replace_table(state.upsert(sinks.load_or_empty(spark, at, schema), log.where(F.col("completed_at") % 2 == part), "key", "completed_at"), at)
+    return sinks.load_or_empty(spark, at, schema)
+
+
+# --- likeness that is planted, so that SQL knows it ------------------------------------------------------
+
+_ORDERS = list(itertools.permutations(range(4)))
+_STARS_SQL = f"""
+s AS (SELECT s_suppkey AS k, sha256('g' || s_suppkey) AS h FROM supplier), t AS (SELECT k, [substr(h, 1, 6), substr(h, 7, 6), substr(h, 13, 6), substr(h, 19, 6)] AS t, left(h, 24) AS x, substr(h, 25, 24) AS y FROM s),
+n AS (SELECT k, unnest([{", ".join("array_to_string([" + ", ".join(f"t[{i + 1}]" for i in p) + "], ' ')" for p in _ORDERS)}]) AS name FROM t WHERE k % 2 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY name) AS rn FROM n)
+SELECT 'character' AS entity_type, min(name) AS canonical_name, coalesce(string_agg(name, ',' ORDER BY name) FILTER (rn % 10 <> 1), '') AS aliases, CAST(1 AS DOUBLE) AS confidence FROM r GROUP BY k, (rn - 1) // 10
+UNION ALL SELECT 'character', x || ' ' || y || 'q', least(x || ' ' || y, y || ' ' || x) || ',' || greatest(x || ' ' || y, y || ' ' || x), 200.0::DOUBLE * 49 / 99 / 100 FROM t WHERE k % 2 = 1
+"""
+
+
+@query("WITH " + _STARS_SQL)
+def fuzzy_stars(spark, sf_dir):
+    """Whole groups: 24 orders of four words are three stars of at most ten, and a longer spelling is canonical."""
+    h = F.sha2(F.concat(F.lit("g"), F.col("s_suppkey").cast("string")), 256)
+    x, y = F.substring(h, 1, 24), F.substring(h, 25, 24)
+    words = [F.substring(h, 1 + 6 * i, 6) for i in range(4)]
+    names = F.when(F.col("s_suppkey") % 2 == 0, F.array(*[F.concat_ws(" ", *[words[i] for i in p]) for p in _ORDERS])).otherwise(F.array(F.concat_ws(" ", x, y), F.concat_ws(" ", y, x), F.concat(x, F.lit(" "), y, F.lit("q"))))
+    found = resolve.fuzzy_groups(_t(spark, sf_dir, "supplier").select(F.lit("character").alias("entity_type"), F.explode(names).alias("name")))
+    return found.withColumn("aliases", F.array_join("aliases", ","))
+
+
+@query("""
+WITH s AS (SELECT s_suppkey AS k, left(sha256('w' || s_suppkey), 24) AS h FROM supplier), w AS (SELECT k, h FROM s WHERE k % 2 = 0)
+SELECT s.k AS entity_key, w.h AS wiki_entry_name, CASE WHEN w.h IS NOT NULL THEN 'canonical' WHEN s.k % 15 >= 10 THEN 'major' ELSE 'minor' END AS priority FROM s LEFT JOIN w ON s.k % 4 < 3 AND s.k - CASE WHEN s.k % 4 = 1 THEN 1 ELSE 0 END = w.k
+""")
+def wiki_links(spark, sf_dir):
+    """Names that are part of an entry, aliases after names that match nothing, one letter changed, none."""
+    k, h = F.col("s_suppkey"), _far(F.col("s_suppkey"), "w")
+    s = _t(spark, sf_dir, "supplier")
+    far = _far(k, "v")
+    name = F.when(k % 4 == 0, F.upper(F.substring(h, 3, 12))).when(k % 4 == 2, F.concat(F.lit("Q"), F.substring(h, 2, 23))).otherwise(far)
+    aliases = F.when(k % 4 == 1, F.array(_far(k, "u"), F.concat(_far(k - 1, "w"), F.lit("q"))))
+    entities = s.select(k.alias("entity_key"), F.lit("character").alias("entity_type"), name.alias("name"), aliases.alias("aliases"), (k % 15).cast("int").alias("occurrence_count"))
+    listed = s.where("s_suppkey % 2 = 0").select(F.lit("character").alias("entity_type"), h.alias("wiki_name"))
+    return wiki.classify_priority(entities, listed).select("entity_key", "wiki_entry_name", "priority")
+
+
+@query("""
+SELECT 'location' AS entity_type, n_name AS canonical_name, CASE WHEN n_nationkey % 2 = 0 THEN 'x,y' ELSE '' END AS aliases, CASE WHEN n_nationkey % 2 = 0 THEN 0.5 ELSE CAST(0.9 AS DOUBLE) END AS confidence, CAST(n_nationkey * 100000 + 1 AS BIGINT) AS pos FROM nation WHERE n_nationkey % 5 > 0
+""")
+def model_groups(spark, sf_dir):
+    """Groups from answers: the first of each is without a name, every fifth answer holds no object."""
+    k = F.col("n_nationkey")
+    n = _t(spark, sf_dir, "nation").select(F.lit("location").alias("entity_type"), k.cast("int").alias("block"), k.cast("string").alias("key"), "n_name")
+    one = F.when(F.col("block") % 2 == 0, F.concat(F.lit('{"canonical_name":"'), "n_name", F.lit('","aliases":["x","y"],"confidence":0.5}'))).otherwise(F.concat(F.lit('{"canonical_name":"'), "n_name", F.lit('"}')))
+    answer = F.when(F.col("block") % 5 == 0, "none").otherwise(F.concat(F.lit('```json\n{"groups":[{"canonical_name":""},'), one, F.lit("]}\n```")))
+    return resolve.groups_from(n, n.select("key", answer.alias("response"))).withColumn("aliases", F.array_join("aliases", ","))
+
+
+@query("""
+SELECT 'char_' || lower(replace(n_name, '_', '')) AS entity_id, n_name AS name, 'a' || n_nationkey AS aliases, 'ch' || n_regionkey AS first_appearance, CAST(n_nationkey AS BIGINT) AS occurrence_count, CASE WHEN n_nationkey % 3 > 0 THEN 'd' || n_nationkey END AS description,
+CASE WHEN n_nationkey % 3 > 0 THEN 'r' END AS role, CASE WHEN n_nationkey % 3 > 0 THEN 'p,q' ELSE '' END AS abilities, true AS valid FROM nation
+UNION ALL SELECT 'char_', '!!!', r_name, 'ch', r_regionkey, NULL, NULL, '', false FROM region
+""")
+def described_entities(spark, sf_dir):
+    k = F.col("n_nationkey")
+    resolved = _t(spark, sf_dir, "nation").select(F.lit("b").alias("book_id"), F.col("n_name").alias("canonical_name"), F.lit("character").alias("entity_type"), F.array(F.concat(F.lit("a"), k.cast("string")), "n_name").alias("all_names"), F.array(F.lit("t")).alias("contexts"), F.array(F.concat(F.lit("ch"), F.col("n_regionkey").cast("string"))).alias("source_chapters"), k.cast("long").alias("total_occurrences"), "n_nationkey")
+    said = F.concat(F.lit('{"description":"d'), k.cast("string"), F.lit('","role":"r","abilities":["p","q"],"goals":["not a field of characters"]}'))
+    answers = resolved.where("n_nationkey % 3 > 0").select("book_id", "canonical_name", "entity_type", said.alias("response"))
+    nameless = _t(spark, sf_dir, "region").select(F.lit("b").alias("book_id"), F.lit("!!!").alias("canonical_name"), F.lit("character").alias("entity_type"), F.array(F.lit("!!!"), "r_name").alias("all_names"), F.array(F.lit("t")).alias("contexts"), F.array(F.lit("ch")).alias("source_chapters"), F.col("r_regionkey").cast("long").alias("total_occurrences"))
+    good, bad = summarize.entities(resolved.drop("n_nationkey").unionByName(nameless), answers)
+    both = good.withColumn("valid", F.lit(True)).unionByName(bad.withColumn("valid", F.lit(False)))
+    return both.select("entity_id", "name", F.array_join("aliases", ",").alias("aliases"), "first_appearance", "occurrence_count", F.col("canonical_description").alias("description"), "role", F.array_join("abilities", ",").alias("abilities"), "valid")
+
+
+@query("""
+SELECT role, 'Describe the character ' || role || '.' || chr(10) || 'Also known as: A, B' || chr(10) || 'Fields: physical_traits, personality_traits, abilities, role, species' || chr(10) || 'Text:' || chr(10) || string_agg('- ' || text, chr(10) || chr(10) ORDER BY conv_id, turn) FILTER (text <> '') AS prompt
+FROM (SELECT *, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS rn FROM conversations) WHERE rn <= 50 GROUP BY role
+""")
+def prompt_contexts(spark, sf_dir):
+    """Prompts show the first fifty contexts of many: that limit is the operator's."""
+    c = _t(spark, sf_dir, "conversations").groupBy("role").agg(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "text"))), lambda x: x["text"]).alias("contexts"))
+    return c.select("role", summarize.prompt(F.col("role"), F.lit("character"), F.array(F.lit("A"), F.lit("B")), F.col("contexts")).alias("prompt"))
+
+
+# --- runs -----------------------------------------------------------------------------------------------
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, CAST(coalesce(sum(event_id) FILTER (event_type = 'click'), 0) AS BIGINT) AS click, CAST(coalesce(sum(event_id) FILTER (event_type = 'error'), 0) AS BIGINT) AS error, CAST(0 AS BIGINT) AS none FROM events WHERE event_type IN ('click', 'error') GROUP BY 1")
+def run_summary(spark, sf_dir):
+    return telemetry.run_summary(_metrics(spark, sf_dir).withColumn("value", F.col("event_id")), ["click", "error", "none"])
+
+
+@query("""
+WITH r AS (SELECT user_id, event_type, epoch_us(ts) AS us, event_id % 120 AS c, user_id % 101 AS t FROM events), l AS (SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY us) AS gap FROM r)
+SELECT 'overflow' AS kind, CAST(user_id AS VARCHAR) AS run_id, event_type AS stage, us FROM r WHERE t > 0 AND c > t UNION ALL SELECT 'silent', CAST(user_id AS VARCHAR), event_type, us FROM l WHERE gap > 60 * 1000000
+""")
+def progress_warnings(spark, sf_dir):
+    rows = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("run_id"), F.col("event_type").alias("stage"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 120).alias("current"), (F.col("user_id") % 101).alias("total"))
+    return telemetry.warnings(rows).select("kind", "run_id", "stage", F.unix_micros("ts").alias("us"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 500 THEN left(text, 500) || '...' ELSE text END AS prompt_preview, source AS response_preview, CAST(length(text) AS INTEGER) AS prompt_length, CAST(length(source) AS INTEGER) AS response_length FROM documents")
+def call_previews(spark, sf_dir):
+    calls = _t(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("prompt"), F.col("source").alias("response"))
+    return telemetry.call_previews(calls).drop("prompt", "response")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS book_id, CAST(coalesce(quality, 0) AS INTEGER) AS entities_extracted FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) USING (doc_id)")
+def registry_counts(spark, sf_dir):
+    records = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("book_id"), F.col("source").alias("title"), F.lit("").alias("author"), F.lit("").alias("file_path"), text.content_hash(F.col("text")).alias("content_hash"), F.lit(1).alias("chapters"))
+    counts = _t(spark, sf_dir, "labels").groupBy(F.col("doc_id").cast("string").alias("book_id")).agg(F.max("quality").alias("n"))
+    return state.update_counts(state.book_records(records), counts).select("book_id", "entities_extracted")
+
+
+@query("SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 10 = 0)")
+def registry_by_hash(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", text.content_hash(F.col("text")).alias("content_hash"))
+    return state.by_hash(d, d.where("doc_id % 10 = 0")).select("doc_id", "content_hash")
+
+
+@query("SELECT source, CAST(count(*) FILTER (lang = 'en') AS DOUBLE) / count(*) * 100 AS pct, 0.0::DOUBLE AS none FROM documents GROUP BY 1")
+def checkpoint_percent(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").groupBy("source").agg(F.count_if(F.col("lang") == "en").alias("done"), F.count("*").alias("total"))
+    return d.select("source", state.progress_percent(F.col("done"), F.col("total")).alias("pct"), state.progress_percent(F.col("done"), F.lit(0)).alias("none"))
+
+
+@query("SELECT book_id, chapter_index, name, CAST(count(*) AS BIGINT) AS n FROM (SELECT source AS book_id, CAST(doc_id AS INTEGER) AS chapter_index, unnest(list_filter(string_split_regex(text, '[^A-Za-z]+'), lambda x: regexp_matches(x, '^[A-Z][a-z]{2,}$'))) AS name FROM documents) GROUP BY 1, 2, 3")
+def resumed_extraction(spark, sf_dir):
+    """A run that ended after half of the chapters, and one that takes up the rest; no chapter comes twice."""
+    chapters = _t(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").cast("int").alias("chapter_index"), F.lit("t").alias("chapter_title"), F.col("text").alias("content"))
+    store = new_folder(spark, "store")
+    for part in (chapters.where("chapter_index % 2 = 0"), chapters):
+        found = books.extract_chapters(part, extract.Capitalized(), store, size=1 << 30, overlap=0)
+    return found.groupBy("book_id", "chapter_index", "name").agg(F.count("*").alias("n"))
+
+
+def _streamed(spark: SparkSession, sf_dir: str, counted: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The end of a stream over the events."""
+    at = new_folder(spark, "stream")
+    rows = spark.readStream.schema(_t(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet")
+    shaped = rows.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name"), F.round(F.col("value") * 100).cast("long").alias("value"), F.col("user_id").cast("string").alias("run_id"))
+    keep = lambda df, number: df.write.mode("overwrite").parquet(f"{at}/out")
+    counted(shaped).writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out")
+
+
+@query("SELECT event_type AS name, CAST(epoch_us(ts) // 3600000000 AS BIGINT) AS hour, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1, 2")
+def stream_counters(spark, sf_dir):
+    out = _streamed(spark, sf_dir, feeds.counters)
+    return out.select("name", F.expr("unix_micros(window.start) div 3600000000").alias("hour"), "total")
+
+
+@query("""
+WITH l AS (SELECT user_id, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS earlier FROM events), s AS (SELECT user_id, us, sum(CASE WHEN earlier IS NULL OR us - earlier >= 3600 * 1000000::BIGINT THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY us) AS n FROM l)
+SELECT CAST(user_id AS VARCHAR) AS run_id, min(us) AS began, count(*) AS events FROM s GROUP BY user_id, n
+""")
+def stream_spells(spark, sf_dir):
+    out = _streamed(spark, sf_dir, lambda df: feeds.active_spells(df, gap=3600))
+    return out.select("run_id", F.unix_micros("session_window.start").alias("began"), "events")
+
+
+@query("WITH t AS (SELECT source AS book_id, doc_id, " + _TEXT_SQL.format(t="'Head ' || doc_id || chr(10) || chr(10) || trim(text, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))") + r""" AS content FROM documents)
+SELECT book_id, CAST(row_number() OVER (PARTITION BY book_id ORDER BY doc_id) - 1 AS INTEGER) AS chapter_index, CASE WHEN doc_id % 2 = 0 THEN 'Head ' || doc_id ELSE 'Item' END AS chapter_title, sha256(content) AS h,
+CAST(len(list_filter(string_split_regex(content, '\s+'), lambda x: x <> '')) AS INTEGER) AS word_count FROM t WHERE length(content) >= 100
+""")
+def chapters_from_html(spark, sf_dir):
+    """Documents as files of a book, with menus and styles that leave."""
+    escaped = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    page = F.concat(F.lit("<html><head><title>T</title><style>p{}</style></head><body><nav><p>menu</p></nav><h1>Head "), F.col("doc_id").cast("string"), F.lit("</h1><p>"), escaped, F.lit("</p><footer>end</footer></body></html>"))
+    items = _t(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("pos"), F.when(F.col("doc_id") % 2 == 1, "Item").otherwise("").alias("item_title"), page.alias("html"))
+    return html.chapters_from_html(items).select("book_id", "chapter_index", "chapter_title", F.sha2("content", 256).alias("h"), "word_count")
+
+
 # --- pages ----------------------------------------------------------------------------------------------
 
 
@@ -616,7 +903,10 @@ def chapter_title(spark, sf_dir):
 # --- everything: documents are chapters of the books that their sources are ------------------------------
 
 
-@query()
+@query("WITH " + _chunks_sql(_TEXT_SQL.format(t="text"), T.CHUNK_SIZE, T.CHUNK_OVERLAP) + """,
+m AS (SELECT DISTINCT source AS book_id, doc_id, i, 'character:' || lower(unnest(list_filter(string_split_regex(chunk, '[^A-Za-z]+'), lambda x: regexp_matches(x, '^[A-Z][a-z]{2,}$')))) AS e FROM c JOIN documents USING (doc_id) WHERE chunk IS NOT NULL)
+SELECT a.book_id, a.e AS source, b.e AS target, count(*) AS weight FROM m a JOIN m b ON a.doc_id = b.doc_id AND a.i = b.i AND a.e < b.e GROUP BY 1, 2, 3 HAVING count(*) >= 2
+""")
 def entity_graph(spark, sf_dir):
     """Chunks, mentions, merge and edges over all documents; the flagship."""
     chapters = _t(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").cast("int").alias("chapter_index"), F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("chapter_title"), text.normalize_text(F.col("text")).alias("content"))
