@@ -895,7 +895,10 @@ def html_text(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", html.html_to_text("html").alias("text"))
 
 
-@query()
+_HEAD_SQL = r"trim(replace(replace(replace(replace(regexp_extract(html, '(?s)<{e}[^>]*>(.*?)</{e}>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'))"
+
+
+@query(f"""SELECT page_id, CASE WHEN length({_HEAD_SQL.format(e='h1')}) BETWEEN 1 AND 99 THEN {_HEAD_SQL.format(e='h1')} WHEN length({_HEAD_SQL.format(e='title')}) BETWEEN 1 AND 99 THEN {_HEAD_SQL.format(e='title')} ELSE 'Chapter ' || page_id + 1 END AS title FROM pages""")
 def chapter_title(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", html.chapter_title(F.lit(None).cast("string"), F.col("html"), F.col("page_id")).alias("title"))
 

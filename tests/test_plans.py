@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import json
+import re
 import zipfile
 
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
 from loregraph import cli, sinks
@@ -199,3 +201,29 @@ def test_model_groups_in_order(spark):
         names = {n: r["canonical_name"] for r in out.collect() for n in r["all_names"]}
         assert names["Donut"] == canonical
         assert [(r["method"], r["names"]) for r in log.collect()] == [("llm", 3)]
+
+
+def test_whole_plan_of_the_table(spark):
+    """Entities of all conversations against a plain program: mentions, counts, greedy groups, ids."""
+    from test_text import greedy_brute
+
+    from loregraph import queries
+
+    seen = {}  # (book, name) to [first place, count in the first chapter, later chapters]
+    turns = spark.read.parquet(f"{DATA}/conversations.parquet").collect()
+    for r in sorted(turns, key=lambda r: (r["conv_id"], r["turn"])):
+        names = [w for w in re.split("[^A-Za-z]+", r["text"]) if re.fullmatch("[A-Z][a-z]{2,}", w)]
+        for name in dict.fromkeys(names):
+            place = (r["turn"], names.index(name))
+            if (r["conv_id"], name) in seen:
+                seen[r["conv_id"], name][2] += 1
+            else:
+                seen[r["conv_id"], name] = [place, names.count(name), 0]
+    canonical = {x: c for c, group in greedy_brute({n for _, n in seen}, 85) for x in group}
+    expected = {}
+    for (book, name), (place, first, later) in seen.items():
+        e = expected.setdefault((f"conv{book}", canonical[name]), [place, 0])
+        e[0], e[1] = min(e[0], place), e[1] + first + later
+    rows = [(b, f"char_{n.lower()[:30]}", n, "character", f"turn {p[0]}", count) for (b, n), (p, count) in expected.items()]
+    got = queries.queries()["book_entities"](spark, DATA).select("book_id", "entity_id", "name", "entity_type", "first_appearance", "occurrence_count")
+    assert sorted(map(tuple, got.collect())) == sorted(rows)

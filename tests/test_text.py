@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import html as entities
 import re
 
 import pytest
+from conftest import DATA
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -178,6 +180,37 @@ def test_html():
     assert html.title_of("<p>x</p>") is None
 
 
+def blocks_brute(source):
+    """Block texts by another way: tags by a regular expression, and each text under all of its open blocks."""
+    source = re.sub(r"(?is)<(script|style)\b.*?</\1>|<![^>]*>(?<!--)|<!--.*?-->", "\0", source)
+    blocks, stray, path = [], [], []
+    for tag, data in re.findall(r"(<[^>]*>)|([^<]+)", source):
+        name = re.match(r"</?([a-zA-Z0-9]*)", tag).group(1).lower() if tag else None
+        if tag.startswith("</"):
+            while name in [n for n, _ in path] and path.pop()[0] != name:
+                pass
+        elif tag and name not in html.EMPTY:
+            hidden = any(n in html.LEFT_OUT for n, _ in path)
+            path.append((name, len(blocks) if name in html.BLOCKS and not hidden else None))
+            if path[-1][1] is not None:
+                blocks.append([])
+        elif data and not any(n in html.LEFT_OUT for n, _ in path):
+            for piece in filter(None, (entities.unescape(x).strip() for x in data.split("\0"))):
+                stray.append(piece)
+                for _, at in path:
+                    if at is not None:
+                        blocks[at].append(piece)
+    return "\n\n".join(" ".join(b) for b in blocks if b) or " ".join(stray)
+
+
+def test_html_text_of_the_table(spark):
+    from loregraph import queries
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    got = {r["page_id"]: r["text"] for r in queries.queries()["html_text"](spark, DATA).collect()}
+    assert got == {i: blocks_brute(h) for i, h in pages.items()}
+
+
 def test_front_matter():
     assert corpus.front_matter_of("---\nname: Carl\naliases: [a, 'b']\n---\nx") == {"name": "Carl", "aliases": "a, b"}
     assert corpus.front_matter_of("---\naliases:\n- a\n- b\n---\n") == {"aliases": "a, b"}
