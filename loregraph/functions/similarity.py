@@ -1,17 +1,23 @@
-"""Similarity of names from the longest common subsequence, 0 to 100, and lossless blocking for it.
+"""Similarity of names from the longest common subsequence, 0 to 100, and a join by it that loses no pair.
 
 The subsequence's length comes from whole rows of the dynamic programme as bits of one integer, so a pair
-costs one addition a character; pairs arrive as Arrow batches.
+costs one addition a character. The join compares blocks of texts with blocks: characters shared, whatever their
+order, bound the subsequence and are one product of matrices, and only pairs that the bound leaves are compared.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from loregraph.functions.text import SPACE
+from loregraph.storage import table
+
+#: Texts and characters of a block, and classes of characters; no result depends on them.
+BLOCK, BLOCK_CHARS, CLASSES = 2048, 1 << 18, 255
 
 
 def common(a: str, b: str) -> int:
@@ -63,99 +69,159 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
     return ratio(sorted_tokens(a), sorted_tokens(b))
 
 
-def can_reach(a: Column, b: Column, threshold: int) -> Column:
+def can_reach(least: Column, most: Column, threshold: int) -> Column:
     """Lengths under which the ratio can reach the threshold: the subsequence is no longer than either."""
-    return F.least(F.length(a), F.length(b)) * 200 >= threshold * (F.length(a) + F.length(b))
+    return least * 200 >= threshold * (least + most)
+
+
+def needed(a: np.ndarray, b: np.ndarray, threshold: int, partial: bool) -> np.ndarray:
+    """The least common subsequence with which texts of these lengths can reach the threshold. A window of the
+    longer text can be cut at its ends, and is then no shorter than the subsequence."""
+    need = threshold * np.minimum(a, b) / (200 - threshold) if partial else threshold * (a + b) / 200
+    return np.ceil(need - 1e-9)
 
 
-def _pieces(text: str, threshold: int) -> list[tuple[int, str]]:
-    """A text of m characters within ratio ``threshold`` of one no longer than itself loses or gains at
-    most k characters; cut into k + 1 pieces, one of them is in the other unchanged."""
-    k = int((1 - threshold / 100) * 2 * len(text) + 1e-9)
+def _pieces(text: str, threshold: int) -> list[str]:
+    """A text of m characters within partial ratio ``threshold`` of a longer one loses or gains at most
+    2 m (1 - t) / t characters; cut into one piece more, one of the pieces is in the longer text unchanged."""
+    k = int(2 * len(text) * (1 - threshold / 100) / (threshold / 100) + 1e-9)
     size, more = divmod(len(text), k + 1)
-    if not size:
-        return [(0, "")]
-    out, at = [], 0
-    for i in range(k + 1):
-        width = size + (i < more)
-        out.append((len(text), text[at : at + width]))
-        at += width
-    return out
-
-
-def block_keys(threshold: int):
-    """Two Arrow functions: keys of a text as the longer of a pair, and as the shorter. Pairs that reach
-    the threshold share a key; a key holds the longer text's length and one of its pieces."""
-
-    @F.pandas_udf(S.ArrayType(S.StringType()))
-    def as_longer(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: [] if t is None else sorted({f"{m}|{p}" for m, p in _pieces(t, threshold)}))
-
-    def shorter(t: str) -> list[str]:
-        out = set()
-        for m in range(len(t), int(len(t) * (200 - threshold) / threshold + 1e-9) + 1):
-            for width in {len(p) for _, p in _pieces("x" * m, threshold)}:
-                out |= {f"{m if width else 0}|{t[i : i + width]}" for i in range(len(t) - width + 1)}
-        return sorted(out)
-
-    @F.pandas_udf(S.ArrayType(S.StringType()))
-    def as_shorter(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: [] if t is None else shorter(t))
-
-    return as_longer, as_shorter
-
-
-def partial_keys(threshold: int):
-    """Two Arrow functions: keys of a text as the shorter of a pair and as the longer. Pairs whose partial
-    ratio or ratio reaches the threshold share a key. Of a shorter text of m characters at most
-    2 m (1 - t) / t are lost or gained, in the longer or in a window of it; cut into one piece more, one of
-    its pieces is in the longer text unchanged."""
-
-    def widths(m: int) -> list[int]:
-        k = int(2 * m * (1 - threshold / 100) / (threshold / 100) + 1e-9)
-        size, more = divmod(m, k + 1)
-        return [size + (i < more) for i in range(k + 1)]
-
-    def short(t: str) -> list[str]:
-        out, at = set(), 0
-        for w in widths(len(t)):
-            out.add(t[at : at + w])
-            at += w
-        return sorted(out)
-
-    def long_(t: str) -> list[str]:
-        every = {w for m in range(len(t) + 1) for w in widths(m)}
-        return sorted({t[i : i + w] for w in every for i in range(len(t) - w + 1)})
-
-    @F.pandas_udf(S.ArrayType(S.StringType()))
-    def as_short(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: [] if t is None else short(t))
-
-    @F.pandas_udf(S.ArrayType(S.StringType()))
-    def as_long(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: [] if t is None else long_(t))
-
-    return as_short, as_long
-
-
-def near_keys(left: DataFrame, right: DataFrame, by: str, threshold: int, partial: bool) -> DataFrame:
-    """``left`` (``by``, key) and ``right`` (``by``, key) to (``by``, a, b): pairs of keys, each once, that hold
-    all whose ratio, with ``partial`` also partial ratio, reaches the threshold, and not many more."""
-    small, large = partial_keys(threshold) if partial else tuple(reversed(block_keys(threshold)))
-    piece = lambda df, name, keys: df.select(by, F.col("key").alias(name), F.explode(keys("key")).alias("piece"))
-    met = piece(left, "a", small).join(piece(right, "b", large), [by, "piece"]).where(F.length("a") <= F.length("b"))
-    back = piece(left, "a", large).join(piece(right, "b", small), [by, "piece"]).where(F.length("a") > F.length("b"))
-    pairs = met.select(by, "a", "b").unionByName(back.select(by, "a", "b")).distinct()
-    return pairs if partial else pairs.where(can_reach(F.col("a"), F.col("b"), threshold))
+    ends = [i * size + min(i, more) for i in range(k + 2)]
+    return [text[x:y] for x, y in zip(ends, ends[1:], strict=False)]
+
+
+class _Block:
+    """Texts of two blocks with their characters as small numbers; ``exact`` says whether equal numbers are equal
+    characters. If they aren't, what is computed from them is an upper bound."""
+
+    def __init__(self, left: list[str], right: list[str]):
+        self.texts, self.left = left + right, len(left)
+        self.length = np.array([len(t) for t in self.texts], np.int64)
+        seen, codes = np.unique(np.frombuffer("".join(self.texts).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+        self.exact, self.classes = len(seen) <= CLASSES, max(1, min(len(seen), CLASSES))
+        self.codes = (codes % CLASSES).astype(np.uint8)
+        self.row = np.repeat(np.arange(len(self.texts)), self.length)
+        self.place = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
+
+    def shared(self, need) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of places in left and right that share at least ``need`` characters in any order: the sum of the
+        lesser counts, as a product over one column for each count of each character."""
+        counts = np.bincount(self.row * self.classes + self.codes, minlength=len(self.texts) * self.classes).reshape(-1, self.classes)
+        a, b = counts[: self.left], counts[self.left :]
+        top = np.minimum(a.max(0), b.max(0))
+        char, level = np.repeat(np.arange(self.classes), top), np.concatenate([np.arange(1, n + 1) for n in top])
+        out = []
+        for at in range(0, len(a), 512):
+            sums = np.zeros((len(a[at : at + 512]), len(b)), np.float32)
+            for d in range(0, len(char), 1024):
+                c, n = char[d : d + 1024], level[d : d + 1024]
+                sums += (a[at : at + 512][:, c] >= n).astype(np.float32) @ (b[:, c] >= n).astype(np.float32).T
+            i, j = np.nonzero(sums >= need(self.length[at : min(at + 512, self.left), None], self.length[None, self.left :]))
+            out.append((i + at, j + self.left))
+        return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
+
+    def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The common subsequence of texts ``i`` and ``j``, -1 where both have more than 63 characters."""
+        swap = self.length[i] > self.length[j]
+        short, long_ = np.where(swap, j, i), np.where(swap, i, j)
+        out = np.full(len(i), -1, np.int64)
+        fits = self.length <= 63
+        bits, none = np.zeros((len(self.texts), 256), np.uint64), np.uint8(255)
+        mine = fits[self.row]
+        np.bitwise_or.at(bits.reshape(-1), self.row[mine] * 256 + self.codes[mine], np.uint64(1) << self.place[mine].astype(np.uint64))
+        padded = np.full((len(self.texts), max(1, self.length.max())), none)
+        padded[self.row, self.place] = self.codes
+        full = (np.uint64(1) << np.minimum(self.length, 63).astype(np.uint64)) - np.uint64(1)
+        order = np.flatnonzero(fits[short])
+        order = order[np.argsort(self.length[long_[order]], kind="stable")]
+        for at in range(0, len(order), 1 << 15):
+            these = order[at : at + (1 << 15)]
+            s, x = short[these], long_[these]
+            row = full[s]
+            for k in range(self.length[x[-1]]):
+                hit = row & bits[s, padded[x, k]]
+                row = ((row + hit) | (row - hit)) & full[s]
+            out[these] = self.length[s] - np.bitwise_count(row)
+        return out
+
+
+def near_of(left: list[str], right: list[str], threshold: int, partial: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``left`` and ``right`` of all pairs whose ratio, with ``partial`` the greater of it and the
+    partial ratio, is at least ``threshold``, with that score."""
+    need = lambda a, b: needed(a, b, threshold, partial)
+    block = _Block(left, right)
+    i, j = block.shared(need)
+    lcs = block.common(i, j)
+    keep = (lcs < 0) | (lcs >= need(block.length[i], block.length[j]))
+    i, j, lcs = i[keep], j[keep], lcs[keep]
+    total = block.length[i] + block.length[j]
+    score = np.where(total > 0, 200.0 * lcs / np.maximum(total, 1), 100.0)
+    for k in np.flatnonzero((lcs < 0) | partial | (not block.exact)):
+        a, b = block.texts[i[k]], block.texts[j[k]]
+        score[k] = ratio_of(a, b)
+        if partial:
+            short, long_ = sorted((a, b), key=len)
+            if any(p in long_ for p in _pieces(short, threshold)):
+                score[k] = max(score[k], partial_of(a, b))
+    keep = score >= threshold
+    return i[keep], j[keep] - len(left), score[keep]
+
+
+def _blocks(texts: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """``texts`` (``by``, key) with their block: texts of about one length, dealt by hash; and the blocks."""
+    sized = texts.withColumn("size", F.floor(F.log(F.length("key") + F.lit(1.0)) * 8).cast("int"))
+    n, most = F.count("*"), F.max(F.length("key"))
+    counts = sized.groupBy(by, "size").agg(F.min(F.length("key")).alias("least"), most.alias("most"), F.ceil(F.greatest(n / BLOCK, n * most / BLOCK_CHARS, F.lit(1.0))).cast("int").alias("parts"))
+    dealt = sized.join(counts.select(by, "size", "parts"), [by, "size"]).select(by, "key", "size", F.pmod(F.xxhash64("key"), "parts").cast("int").alias("part"))
+    return dealt, counts.select(by, "size", "least", "most", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
+
+def near_texts(left: DataFrame, right: DataFrame | None, by: str, threshold: int, partial: bool = False) -> DataFrame:
+    """``left`` and ``right`` (``by``, key) to (``by``, a, b, score): all pairs of keys whose ratio, with ``partial``
+    the greater of it and the partial ratio, reaches the threshold, each once. Without ``right`` the pairs
+    a < b of ``left``. Every pair of blocks whose lengths allow a match is one group of two blocks at most."""
+    spark, one = left.sparkSession, right is None
+    own = lambda df: table(df.select(by, "key").where("key is not null").distinct())
+    left = own(left)
+    right = left if one else own(right)
+    (a, a_blocks), (b, b_blocks) = _blocks(left, by), _blocks(right, by)
+    first = a_blocks.toDF(by, "a_size", "a_least", "a_most", "a_part")
+    tiles = first.join(b_blocks.toDF(by, "b_size", "b_least", "b_most", "b_part"), by)
+    if one:
+        tiles = tiles.where("struct(a_size, a_part) <= struct(b_size, b_part)")
+    if not partial:
+        apart = (F.col("a_most") < F.col("b_least")) & ~can_reach(F.col("a_most"), F.col("b_least"), threshold)
+        tiles = tiles.where(~apart & ~((F.col("b_most") < F.col("a_least")) & ~can_reach(F.col("b_most"), F.col("a_least"), threshold)))
+    at = [by, "a_size", "a_part", "b_size", "b_part"]
+    tiles = table(tiles.select(*at))
+    # Few bytes are much work here, so the number of tasks isn't left to sizes.
+    tasks = max(1, min(tiles.count(), max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)))
+    place = lambda df, s: df.toDF(by, "key", f"{s}_size", f"{s}_part").join(tiles, [by, f"{s}_size", f"{s}_part"]).select(*at, "key").repartition(tasks, *at)
+
+    def pairs(key: tuple, l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:  # noqa: E741
+        x, y = l["key"].to_numpy(object), r["key"].to_numpy(object)
+        if not len(x) or not len(y):
+            return pd.DataFrame({by: [], "a": [], "b": [], "score": []})
+        i, j, score = near_of(list(x), list(y), threshold, partial)
+        found = pd.DataFrame({by: key[0], "a": x[i], "b": y[j], "score": score})
+        if one and key[1:3] == key[3:5]:
+            return found[found["a"] < found["b"]]
+        if one:
+            swap = found["a"] > found["b"]
+            found.loc[swap, ["a", "b"]] = found.loc[swap, ["b", "a"]].to_numpy()
+        return found
+
+    kind = left.schema[by].dataType.simpleString()
+    return place(a, "a").groupBy(*at).cogroup(place(b, "b").groupBy(*at)).applyInPandas(pairs, f"{by} {kind}, a string, b string, score double")
 
 
 def similar_pairs(names: DataFrame, by: str, threshold: int) -> DataFrame:
     """``names`` (``by``, name) to (``by``, a, b, score): pairs of different names of one group with
-    token-sort ratio at or above the threshold, each once with a < b. No pair is lost to blocking."""
-    as_longer, as_shorter = block_keys(threshold)
-    named = names.select(by, "name", sorted_tokens(F.col("name")).alias("t")).distinct()
-    long_ = named.select(by, F.col("name").alias("x"), F.col("t").alias("tx"), F.explode(as_longer("t")).alias("key"))
-    short = named.select(by, F.col("name").alias("y"), F.col("t").alias("ty"), F.explode(as_shorter("t")).alias("key"))
-    met = long_.join(short, [by, "key"]).where((F.col("x") != F.col("y")) & can_reach(F.col("tx"), F.col("ty"), threshold))
-    pairs = met.select(by, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("tx")).otherwise(F.col("ty")).alias("ta"), F.when(F.col("x") < F.col("y"), F.col("ty")).otherwise(F.col("tx")).alias("tb")).distinct()
-    return pairs.withColumn("score", ratio("ta", "tb")).where(F.col("score") >= threshold).select(by, "a", "b", "score")
+    token-sort ratio at or above the threshold, each once with a < b. No pair is lost."""
+    named = table(names.select(by, "name", sorted_tokens(F.col("name")).alias("t")).distinct())
+    near = near_texts(named.select(by, F.col("t").alias("key")), None, by, threshold)
+    x, y = named.select(by, F.col("name").alias("x"), F.col("t").alias("a")), named.select(by, F.col("name").alias("y"), F.col("t").alias("b"))
+    other = near.join(x, [by, "a"]).join(y, [by, "b"])
+    same = x.withColumn("b", F.col("a")).join(y, [by, "b"]).where("x < y").withColumn("score", F.lit(100.0))
+    both = other.select(by, "x", "y", "score").unionByName(same.select(by, "x", "y", "score"))
+    return both.select(by, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "score")

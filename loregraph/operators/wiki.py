@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loregraph import types as T
-from loregraph.functions.similarity import near_keys, partial_ratio, ratio
+from loregraph.functions.similarity import near_texts
 from loregraph.functions.text import SPACE, normalize_name
 
 # Fixed value: beginnings of file names that are no entities. The fifth only meets names that begin with it.
@@ -20,16 +20,13 @@ def is_noise(name: Column) -> Column:
 def best_match(names: DataFrame, wiki: DataFrame, threshold: int = T.FUZZY, partial: bool = True) -> DataFrame:
     """``names`` (entity_type, name, key) with ``wiki_match`` and ``match_score``: an equal key of the same
     type, else the best at or above the threshold; ties go to the smaller. ``wiki``: entity_type,
-    wiki_name, wiki_key. Keys without an equal one meet only those that they share a piece with; no pair at
-    the threshold is lost by that."""
+    wiki_name, wiki_key. Keys without an equal one are compared with all of their type."""
     keys = names.select("entity_type", "key").where("key is not null").distinct()
     w = wiki.select(F.col("entity_type").alias("w_type"), "wiki_name", "wiki_key").where("wiki_key is not null").distinct()
     same = keys.join(w, (F.col("entity_type") == F.col("w_type")) & (F.col("key") == F.col("wiki_key"))).groupBy("entity_type", "key").agg(F.min("wiki_name").alias("wiki_match")).withColumn("match_score", F.lit(100.0))
     rest = keys.join(same, ["entity_type", "key"], "left_anti")
     listed = w.select(F.col("w_type").alias("entity_type"), F.col("wiki_key").alias("key")).distinct()
-    met = near_keys(rest, listed, "entity_type", threshold, partial)
-    score = F.greatest(ratio("a", "b"), partial_ratio("a", "b")) if partial else ratio("a", "b")
-    near = met.withColumn("s", score).where(F.col("s") >= threshold).withColumnRenamed("entity_type", "m_type")
+    near = near_texts(rest, listed, "entity_type", threshold, partial).select(F.col("entity_type").alias("m_type"), "a", "b", F.col("score").alias("s"))
     fuzzy = near.join(w, (F.col("m_type") == F.col("w_type")) & (F.col("b") == F.col("wiki_key"))).groupBy(F.col("m_type").alias("entity_type"), F.col("a").alias("key")).agg(
         F.min_by("wiki_name", F.struct(-F.col("s"), F.col("wiki_name"))).alias("wiki_match"), F.max("s").alias("match_score"))
     return names.join(same.unionByName(fuzzy), ["entity_type", "key"], "left")
