@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+from itertools import islice
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loregraph import types as T
-from loregraph.functions.similarity import similar_pairs
+from loregraph.functions.similarity import near_texts, sorted_tokens
 from loregraph.functions.text import content_hash, recovered_json
 from loregraph.operators import merge
 from loregraph.operators.graph import components
@@ -18,42 +21,57 @@ GROUPS = "entity_type string, canonical_name string, aliases array<string>, conf
 POOL = 10
 
 
-def greedy(names: list[str], scores: dict[tuple[str, str], float]) -> list[tuple[str, list[str], float]]:
-    """Stars in ascending order of names: a name not yet used takes its best matches among the unused;
-    the longest of them is canonical, the seed winning ties."""
-    left, out = sorted(names), []
-    partners: dict[str, list[tuple[float, str]]] = {}
-    for (a, b), s in scores.items():
-        partners.setdefault(a, []).append((s, b))
-        partners.setdefault(b, []).append((s, a))
-    used: set[str] = set()
-    for seed in left:
-        if seed in used:
+#: Names that one call groups, about; components are never cut.
+CALL = 20_000
+
+
+def greedy(names: list[tuple[str, str]], near: dict[str, list[tuple[str, float]]]) -> list[tuple[str, list[str], float]]:
+    """Stars in ascending order of ``names`` (name, sorted words): a name not yet used takes its best matches among
+    the unused; the longest of them is canonical, the seed winning ties. ``near``: other words with their score;
+    names of the same words score 100."""
+    left: dict[str, dict[str, None]] = {}
+    for name, words in (names := sorted(names)):
+        left.setdefault(words, {})[name] = None
+    out = []
+    for seed, words in names:
+        if seed not in left[words]:
             continue
-        near = sorted(((s, x) for s, x in partners.get(seed, []) if x not in used), key=lambda p: (-p[0], p[1]))[: POOL - 1]
-        group = [seed, *(x for _, x in near)]
+        del left[words][seed]
+        found = heapq.nsmallest(POOL - 1, ((-s, x, w) for w, s in [(words, 100.0), *near.get(words, [])] for x in islice(left[w], POOL - 1)))
+        group = [seed, *(x for _, x, _ in found)]
         canonical = max(group, key=len)
-        out.append((canonical, [x for x in group if x != canonical], min([s for s, _ in near], default=100.0) / 100))
-        used.update(group)
+        out.append((canonical, [x for x in group if x != canonical], min([-s for s, _, _ in found], default=100.0) / 100))
+        for _, x, w in found:
+            del left[w][x]
     return out
 
 
 def fuzzy_groups(names: DataFrame, threshold: int = T.FUZZY) -> DataFrame:
     """``names`` (entity_type, name) to alias groups. Groups are stars around seeds, not closures. Seeds
-    of different components of similar names never meet, so each component is grouped on its own."""
-    every = names.select("entity_type", "name").distinct()
-    pairs = similar_pairs(every, "entity_type", threshold)
+    of different components of similar names never meet, so each component is grouped on its own. Names of the
+    same words are compared as one text, and aren't paired with each other."""
     node = lambda c: F.concat_ws("\x01", "entity_type", c)
-    roots = components(pairs.select(node("a").alias("a"), node("b").alias("b")))
-    linked = pairs.select("entity_type", "a", "b", "score", node("a").alias("v")).join(roots, "v").select("root", "entity_type", "a", "b", "score")
-
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        scores = {(a, b): s for a, b, s in zip(pdf["a"], pdf["b"], pdf["score"], strict=True)}
-        found = greedy(sorted({x for p in scores for x in p}), scores)
-        return pd.DataFrame([(pdf["entity_type"].iloc[0], *g) for g in found], columns=["entity_type", "canonical_name", "aliases", "confidence"])
-
-    stars = linked.groupBy("root").applyInPandas(group, GROUPS)
-    alone = every.join(roots, node("name") == F.col("v"), "left_anti").select("entity_type", F.col("name").alias("canonical_name"), F.expr("cast(array() as array<string>)").alias("aliases"), F.lit(1.0).alias("confidence"))
+    every = table(names.select("entity_type", "name").where("name is not null").distinct().withColumn("words", sorted_tokens(F.col("name"))))
+    pairs = table(near_texts(every.select("entity_type", F.col("words").alias("key")), None, "entity_type", threshold).withColumn("v", node("a")))
+    roots = components(pairs.select(F.col("v").alias("a"), node("b").alias("b")))
+    rooted = table(every.withColumn("v", node("words")).join(roots, "v", "left").withColumn("root", F.coalesce("root", "v")).drop("v"))
+    shared = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select(F.col("root").alias("s_root"))
+    linked = rooted.join(shared, F.col("root") == F.col("s_root"), "left_semi")
+    calls = max(1, -(-rooted.count() // CALL))
+    dealt = lambda df, *more: df.withColumn("call", F.pmod(F.xxhash64("root"), F.lit(calls))).select("call", "root", *more)
+
+    def group(members: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        near: dict[str, dict[str, list[tuple[str, float]]]] = {}
+        for root, a, b, s in zip(links["root"], links["a"], links["b"], links["score"], strict=True):
+            of = near.setdefault(root, {})
+            of.setdefault(a, []).append((b, s))
+            of.setdefault(b, []).append((a, s))
+        out = [(part["entity_type"].iloc[0], *g) for root, part in members.groupby("root") for g in greedy(list(zip(part["name"], part["words"], strict=True)), near.get(root, {}))]
+        return pd.DataFrame(out, columns=["entity_type", "canonical_name", "aliases", "confidence"])
+
+    links = pairs.join(roots, "v")
+    stars = dealt(linked, "entity_type", "name", "words").groupBy("call").cogroup(dealt(links, "a", "b", "score").groupBy("call")).applyInPandas(group, GROUPS)
+    alone = rooted.join(shared, F.col("root") == F.col("s_root"), "left_anti").select("entity_type", F.col("name").alias("canonical_name"), F.expr("cast(array() as array<string>)").alias("aliases"), F.lit(1.0).alias("confidence"))
     return stars.unionByName(alone)
 
 
