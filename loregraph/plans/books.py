@@ -103,7 +103,8 @@ class Graph:
 
 def build_graph(chapters: DataFrame, extractor: Extractor | None = None, cache: DataFrame | None = None, model_groups: DataFrame | None = None, descriptions: DataFrame | None = None, size: int = T.CHUNK_SIZE, overlap: int = T.CHUNK_OVERLAP, min_weight: int = 2, by_entity: bool = False, run: Run | None = None, store: str | None = None, grouper=None, describer=None) -> Graph:  # noqa: E501
     """All tables of a run over ``chapters`` (book_id, chapter_index, chapter_title, content). Answers are
-    checkpointed before use: an extractor isn't asked again when Spark recomputes. With ``store`` chapters are
+    checkpointed before use: an extractor isn't asked again when Spark recomputes. Mentions and merged names are written
+    once, as several tables come from each. With ``store`` chapters are
     committed as they are done, and a later run takes up what is left. ``grouper`` and ``describer`` are models
     that are asked for alias groups and descriptions where ``model_groups`` and ``descriptions`` aren't given.
     Edges join mention keys; with ``by_entity`` resolved entities."""
@@ -125,11 +126,11 @@ def build_graph(chapters: DataFrame, extractor: Extractor | None = None, cache:
                     run.recorder.increment(name, value or 0)
             known = answers.select("key", "response")
             known = known if cache is None else known.unionByName(cache.select("key", F.col("result").alias("response")))
-            mentions = extract.mentions(chunks, known)
+            mentions = table(extract.mentions(chunks, known))
     run.tell("resolution", "merging names")
     raw = merge.merge_two_level(mentions)
     firsts = mentions.groupBy("book_id", F.lower("name").alias("name_key"), "entity_type").agg(F.min_by("chapter_title", "ord").alias("chapter_title"))
-    named = raw.join(firsts, ["book_id", "name_key", "entity_type"])
+    named = table(raw.join(firsts, ["book_id", "name_key", "entity_type"]))
     with run.step("resolution"):
         if model_groups is None and grouper is not None:
             run.gate("resolution", f"ask {grouper.name} which names mean the same")

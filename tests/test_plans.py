@@ -227,3 +227,10 @@ def test_whole_plan_of_the_table(spark):
     rows = [(b, f"char_{n.lower()[:30]}", n, "character", f"turn {p[0]}", count) for (b, n), (p, count) in expected.items()]
     got = queries.queries()["book_entities"](spark, DATA).select("book_id", "entity_id", "name", "entity_type", "first_appearance", "occurrence_count")
     assert sorted(map(tuple, got.collect())) == sorted(rows)
+
+
+def test_graph_writes_mentions_once(spark):
+    """Tables that several others come from are written, not computed again."""
+    chapters = spark.createDataFrame([("b", 0, "t", "Carl met Donut. Carl left.")], "book_id string, chapter_index int, chapter_title string, content string")
+    g = build_graph(chapters)
+    assert g.mentions.folder and g.mentions.count() == 3
