@@ -673,7 +673,7 @@ SELECT id || '.md' AS file, '---' || chr(10) || 'name: ' || n || chr(10) || 'ent
 'priority: ' || CASE WHEN l THEN 'canonical' WHEN c >= 10 THEN 'major' ELSE 'minor' END || chr(10) || 'is_wiki_linked: ' || l || chr(10) || CASE WHEN l THEN 'wiki_entry_name: ' || n || chr(10) ELSE '' END || '---' || chr(10) || '# ' || n || chr(10) || chr(10) || 'About ' || n AS content FROM p""")
 def priority_files(spark, sf_dir):
     """Priorities of a folder's entities by the list, in their front matter."""
-    files = corpus.read_corpus(spark, _folder_of_files(spark, _entity_files(spark, sf_dir)))
+    files = table(corpus.read_corpus(spark, _folder_of_files(spark, _entity_files(spark, sf_dir))))
     listed = files.where("front_matter['aliases'] rlike '[02468]zz$'").select("entity_type", F.col("front_matter")["name"].alias("wiki_name"))
     classified, _ = books.classify_corpus(files, listed)
     return sinks.priority_files(classified).select(F.substring_index("path", "/", -1).alias("file"), "content")

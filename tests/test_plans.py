@@ -234,3 +234,14 @@ def test_graph_writes_mentions_once(spark):
     chapters = spark.createDataFrame([("b", 0, "t", "Carl met Donut. Carl left.")], "book_id string, chapter_index int, chapter_title string, content string")
     g = build_graph(chapters)
     assert g.mentions.folder and g.mentions.count() == 3
+
+
+def test_priority_files_reads_the_folder_once(spark, monkeypatch):
+    from loregraph import queries
+    from loregraph.storage import drop
+
+    roots, made = [], queries._folder_of_files
+    monkeypatch.setattr(queries, "_folder_of_files", lambda *a: roots.append(made(*a)) or roots[-1])
+    got = queries.queries()["priority_files"](spark, DATA)
+    drop(spark, roots[0])
+    assert got.count() == spark.read.parquet(f"{DATA}/supplier.parquet").count()
